@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe, budget, mixing, quantiles, splits
+from foliospark.llm import bpe, budget, mixing, near, quantiles, splits
 from foliospark.sources.tables import table
 
 
@@ -24,6 +24,14 @@ def p2_measured(spark: SparkSession, d: str) -> DataFrame:
     return quantiles.measured(table(spark, d, "api_metrics")).groupBy("model", "measure").agg(F.sum("count").alias("n"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return near.NearRecords(table(spark, d, "chatml_dataset")).pairs()
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near.NearRecords(table(spark, d, "chatml_dataset")).groups()
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return splits.record_groups(table(spark, d, "chatml_dataset"), table(spark, d, "book_catalog"))
 
@@ -56,7 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            p2_percentiles, p2_daily_digests, p2_measured, p5_found, p5_splits, p6_token_cube, p6_record_tokens, p8_ids, p9_copies, p9_shares,
+            p2_percentiles, p2_daily_digests, p2_measured, p3_found, p3_groups, p5_found, p5_splits, p6_token_cube, p6_record_tokens, p8_ids, p9_copies, p9_shares,
         )
     }
 
