@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe, budget, mixing, near, quantiles, splits
+from foliospark.llm import bpe, budget, mixing, near, quantiles, spans, splits
 from foliospark.sources.tables import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    shared = spans.SharedSpans(spans.texts_of(table(spark, d, "page_artifacts"), table(spark, d, "chatml_dataset")))
+    return spans.named(shared.rows()).select("source_table", "row_id")
+
+
+def p1_shares(spark: SparkSession, d: str) -> DataFrame:
+    shared = spans.SharedSpans(spans.texts_of(table(spark, d, "page_artifacts"), table(spark, d, "chatml_dataset")))
+    return spans.named(shared.shares()).select("source_table", "row_id", "shared_chars", "n_chars")
+
+
 def p2_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return quantiles.model_percentiles(table(spark, d, "api_metrics"))
 
@@ -64,7 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            p2_percentiles, p2_daily_digests, p2_measured, p3_found, p3_groups, p5_found, p5_splits, p6_token_cube, p6_record_tokens, p8_ids, p9_copies, p9_shares,
+            p1_found, p1_shares, p2_percentiles, p2_daily_digests, p2_measured, p3_found, p3_groups, p5_found, p5_splits, p6_token_cube, p6_record_tokens, p8_ids, p9_copies, p9_shares,
         )
     }
 
