@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe, budget, mixing, near, quantiles, spans, splits
+from foliospark.llm import bpe, budget, mixing, near, quantiles, scans, spans, splits
 from foliospark.sources.tables import table
 
 
@@ -58,6 +58,14 @@ def p6_record_tokens(spark: SparkSession, d: str) -> DataFrame:
     return budget.record_tokens(table(spark, d, "chatml_dataset"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.noisy_lines(table(spark, d, "page_artifacts"))
+
+
+def p7_texts(spark: SparkSession, d: str) -> DataFrame:
+    return scans.continuous_text(table(spark, d, "page_artifacts"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, d, "documents"))
 
@@ -74,7 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            p1_found, p1_shares, p2_percentiles, p2_daily_digests, p2_measured, p3_found, p3_groups, p5_found, p5_splits, p6_token_cube, p6_record_tokens, p8_ids, p9_copies, p9_shares,
+            p1_found, p1_shares, p2_percentiles, p2_daily_digests, p2_measured, p3_found, p3_groups, p5_found, p5_splits, p6_token_cube, p6_record_tokens, p7_found, p7_texts, p8_ids, p9_copies, p9_shares,
         )
     }
 
