@@ -40,21 +40,17 @@ def record_words(records: DataFrame, messages: str = "messages") -> Column:
     return F.filter(F.split(F.lower(text), _BLANK), lambda w: w != "")
 
 
-def numbered(words: Column) -> Column:
-    """Elements of the multiset of words as numbers: the k-th occurrence of a word is an element of its own."""
-    ordered = F.array_sort(words)
-    # position minus the place where a word's run begins is its occurrence
-    return F.transform(ordered, lambda w, i: F.xxhash64(w, i - F.array_position(ordered, w)))
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX[0]
     x = (x ^ (x >> np.uint64(27))) * _MIX[1]
     return x ^ (x >> np.uint64(31))
 
 
-def signatures(texts: list[np.ndarray], weight: dict[str, float], bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Band hashes (n x bands) and two 64-bit sketches (n x 2) of lists of words; no list may be empty.
+def signatures(texts: list[np.ndarray], weight: dict[str, float], bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Band hashes (n x bands), two 64-bit sketches (n x 2) and elements of lists of words; no list may be empty.
+
+    An element is a number for the k-th occurrence of a word: two texts have as many in common as words,
+    a repeated word counted as often as both have it.
 
     Each element falls into one of bands * rows bins; the bin keeps the element with the least
     exponential score, whose rate is the word's weight. Empty bins borrow from bins that are drawn by
@@ -91,7 +87,8 @@ def signatures(texts: list[np.ndarray], weight: dict[str, float], bands: int = B
         out = _mix(out * _MIX[2] + dense[:, r::rows] + np.arange(bands, dtype=np.uint64) * _MIX[0])
     bits = (_mix(dense[:, :128] + _MIX[1]) & np.uint64(1)).astype(np.uint64)
     sketch = np.stack([(bits[:, k * 64 : k * 64 + 64] << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64) for k in (0, 1)], axis=1)
-    return out.view(np.int64), sketch.view(np.int64)
+    elements = np.split(element.view(np.int64), np.cumsum([len(t) for t in texts])[:-1])
+    return out.view(np.int64), sketch.view(np.int64), elements
 
 
 def _signer(weight: dict[str, float]):
@@ -100,8 +97,8 @@ def _signer(weight: dict[str, float]):
             for pdf in batches:
                 if pdf.empty:
                     continue
-                bands, sketch = signatures(list(pdf["words"]), weight)
-                yield pd.DataFrame({"rep": pdf["rep"], "bands": list(bands), "s1": sketch[:, 0], "s2": sketch[:, 1]})
+                bands, sketch, elements = signatures(list(pdf["words"]), weight)
+                yield pd.DataFrame({"rep": pdf["rep"], "bands": list(bands), "s1": sketch[:, 0], "s2": sketch[:, 1], "e": elements})
 
     return run
 
@@ -135,9 +132,9 @@ class NearRecords:
 
     def _links(self) -> DataFrame:
         """``(a, b, similarity)``, a < b, of representatives that are similar enough."""
-        signed = cut(self.texts.mapInPandas(_signer(self._weights()), "rep long, bands array<long>, s1 long, s2 long"))
+        signed = cut(self.texts.mapInPandas(_signer(self._weights()), "rep long, bands array<long>, s1 long, s2 long, e array<long>"))
         self._signed = signed.select("rep", "s1", "s2")
-        self._elements = self.texts.select("rep", numbered(F.col("words")).alias("e"))
+        self._elements = signed.select("rep", "e")
         buckets = signed.select("rep", F.explode("bands").alias("bucket"))
         stars = buckets.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
         salted = stars.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
