@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe, budget, mixing, near, quantiles, scans, spans, splits
+from foliospark.llm import bpe, budget, mixing, near, pairs, quantiles, scans, spans, splits
 from foliospark.sources.tables import table
 
 
@@ -42,6 +42,10 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return near.NearRecords(table(spark, d, "chatml_dataset")).groups()
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.defective_pairs(table(spark, d, "page_artifacts"), table(spark, d, "chatml_dataset"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return splits.record_groups(table(spark, d, "chatml_dataset"), table(spark, d, "book_catalog"))
 
@@ -82,7 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            p1_found, p1_shares, p2_percentiles, p2_daily_digests, p2_measured, p3_found, p3_groups, p5_found, p5_splits, p6_token_cube, p6_record_tokens, p7_found, p7_texts, p8_ids, p9_copies, p9_shares,
+            p1_found, p1_shares, p2_percentiles, p2_daily_digests, p2_measured, p3_found, p3_groups, p4_found, p5_found, p5_splits, p6_token_cube, p6_record_tokens, p7_found, p7_texts, p8_ids, p9_copies, p9_shares,
         )
     }
 
