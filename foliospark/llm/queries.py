@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe, budget, mixing, near, pairs, quantiles, scans, spans, splits
+from foliospark.llm import bpe, budget, mixing, near, pairs, personal, quantiles, scans, spans, splits
 from foliospark.sources.tables import table
 
 
@@ -82,11 +82,19 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixed_copies(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return personal.personal_items(table(spark, d, "documents"), table(spark, d, "given_names")).select("doc_id", "kind", "start_char")
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal.redacted(table(spark, d, "documents"), table(spark, d, "given_names"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            p1_found, p1_shares, p2_percentiles, p2_daily_digests, p2_measured, p3_found, p3_groups, p4_found, p5_found, p5_splits, p6_token_cube, p6_record_tokens, p7_found, p7_texts, p8_ids, p9_copies, p9_shares,
+            p1_found, p1_shares, p2_percentiles, p2_daily_digests, p2_measured, p3_found, p3_groups, p4_found, p5_found, p5_splits, p6_token_cube, p6_record_tokens, p7_found, p7_texts, p8_ids, p9_copies, p9_shares, p10_found, p10_redacted,
         )
     }
 
