@@ -258,7 +258,11 @@ def find_items(text: str | None, names: Names) -> list[tuple[str, int, int]]:
             if near or (distinct and not text[max(0, m.start() - 1) : m.start()] in ("+", "/", ".") and not _telephone_cue(before)):
                 take("identity_number", m.start(), m.end())
     for m in _NUMBERS.finditer(text):
-        start, end = _trim(text, m.start(), m.end())
+        start = m.start()
+        opened = m.group().find(" (")
+        if opened > 0 and m.group()[0] != "+":  # a number in brackets after another number
+            start += opened + 1
+        start, end = _trim(text, start, m.end())
         if _phone(text, start, end):
             more = _EXTENSION.match(text, end)
             take("phone", start, more.end() if more else end)
