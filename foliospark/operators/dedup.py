@@ -69,7 +69,7 @@ def length_band(length: Column, threshold: float) -> Column:
 def _compare(threshold: float):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
-        bags = [(p, s, len(s), Counter(s)) for p, s in zip(right["pos"], right["signature"])]
+        bags = [(p, s, len(s), Counter(s)) for p, s in zip(right["before"], right["old"])]
         for p, s in zip(left["pos"], left["signature"]):
             n, bag = len(s), Counter(s)
             for q, t, m, other in bags:
@@ -101,9 +101,9 @@ def similar_earlier(texts: DataFrame, threshold: float, chunk: int = CHUNK) -> D
     left = dealt.join(F.broadcast(near.select(F.col("b1").alias("band"), "b2", "n2")), "band").withColumn("c2", F.explode(F.sequence(F.lit(0), F.col("n2") - 1))).select(
         F.concat_ws("/", "band", "c", "b2", "c2").alias("block"), "pos", "signature")
     right = dealt.join(F.broadcast(near.select(F.col("b2").alias("band"), "b1", "n1")), "band").withColumn("c1", F.explode(F.sequence(F.lit(0), F.col("n1") - 1))).select(
-        F.concat_ws("/", "b1", "c1", "band", "c").alias("block"), "pos", "signature")
+        F.concat_ws("/", "b1", "c1", "band", "c").alias("meets"), F.col("pos").alias("before"), F.col("signature").alias("old"))
     cores = texts.sparkSession.sparkContext.defaultParallelism * 4
-    return left.repartition(cores, "block").groupBy("block").cogroup(right.repartition(cores, "block").groupBy("block")).applyInPandas(_compare(threshold), "pos long, earlier long")
+    return left.repartition(cores, "block").groupBy("block").cogroup(right.repartition(cores, "meets").groupBy("meets")).applyInPandas(_compare(threshold), "pos long, earlier long")
 
 
 def greedy_duplicates(pairs: DataFrame, order: list[str], unit: list[str], threshold: float = 0.9, max_rounds: int = 50) -> DataFrame:
@@ -119,7 +119,6 @@ def greedy_duplicates(pairs: DataFrame, order: list[str], unit: list[str], thres
     # after a global sort the ids of partitions and rows increase in order
     rows = cut(pairs.withColumn("_spot", spot).orderBy("_spot").withColumn("pos", F.monotonically_increasing_id()))
     first = rows.where("signature is not null").groupBy("signature").agg(F.min("pos").alias("pos"))
-    del texts
     # similarity isn't symmetric, so distinct signatures are compared both ways by turning the order around
     ahead = similar_earlier(first, threshold)
     back = similar_earlier(first.select((-F.col("pos")).alias("pos"), "signature"), threshold).select((-F.col("pos")).alias("pos"), (-F.col("earlier")).alias("earlier"))
