@@ -29,6 +29,8 @@ from foliospark.sources.tables import cut, spread
 #: Code points that a shared span has at least.
 SPAN = 200
 PHRASE = 64
+#: Characters by which the stretches that select contexts fall short of a window.
+STEP = 34
 #: Phrases in one automaton (about 64 nodes each), and characters that one task streams through it.
 SHARD_PHRASES = 40_000
 TASK_CHARACTERS = 4_000_000
@@ -236,7 +238,7 @@ class SharedSpans:
 
     def __init__(self, texts: DataFrame):
         self.texts = texts = spread(texts)
-        anchors = texts.select("tbl", "row_id", "text").mapInPandas(_find_anchors, "h long, tbl int, row_id long")
+        anchors = cut(texts.select("tbl", "row_id", "text").mapInPandas(_find_anchors, "h long, tbl int, row_id long"))
         recurring = anchors.groupBy("h").agg(*_range()).where(_differ()).select("h")
         hits = anchors.join(recurring, "h").groupBy("tbl", "row_id").agg(F.collect_set("h").alias("hs"))  # of one row
         holders = cut(texts.join(hits, ["tbl", "row_id"]))
@@ -258,7 +260,8 @@ class SharedSpans:
         whole = cut(seen)
         self.occurrences = whole.select("tbl", "row_id", "part", "at", "cid").distinct()
         contexts = cut(whole.groupBy("cid").agg(*_range(), F.min("lead").alias("lead"), F.min("context").alias("context")))
-        windows = contexts.mapInPandas(_fingerprints, "f long, g long, start int, cid long, lo_id long, hi_id long, lo_tbl int, hi_tbl int")
+        near = self._meeting(contexts)
+        windows = near.mapInPandas(_fingerprints, "f long, g long, start int, cid long, lo_id long, hi_id long, lo_tbl int, hi_tbl int")
         twice = windows.groupBy("f", "g").agg(*_range(("lo_id", "hi_id"), ("lo_tbl", "hi_tbl"))).where(_differ()).select("f", "g")
         # a context of two rows or more recurs as a whole; only windows of the others have to be looked up
         alone = windows.where(~_differ()).select("f", "g", "cid", "start").join(twice, ["f", "g"]).select("cid", "start")
@@ -266,6 +269,19 @@ class SharedSpans:
         together = contexts.where(_differ()).select("cid", F.explode(F.sequence(F.lit(0), last)).alias("start"))
         self.windows = alone.unionAll(together)
 
+    @staticmethod
+    def _meeting(contexts: DataFrame) -> DataFrame:
+        """Contexts that may share a window with a different context.
+
+        Two contexts of one phrase that share a window have in common what reaches from the last multiple of
+        STEP before the phrase that the window holds to STEP characters short of its end; that stretch is the key.
+        """
+        right = F.greatest(F.lit(SPAN - PHRASE - STEP + 1) - F.col("left"), F.lit(0))
+        keyed = contexts.select("cid", "lead", "context", F.explode(F.sequence(F.lit(0), F.col("lead"), F.lit(STEP))).alias("left")).select(
+            "cid", F.xxhash64("left", F.substring("context", F.col("lead") - F.col("left") + 1, F.col("left") + PHRASE + right)).alias("key"))
+        shared = keyed.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).where("a < b").select("key")
+        return contexts.join(keyed.join(shared, "key").select("cid").distinct(), "cid", "left_semi")
+
     def rows(self) -> DataFrame:
         """``(tbl, row_id)`` of rows that share a span."""
         return self.occurrences.join(self.windows.select("cid").distinct(), "cid").select("tbl", "row_id").distinct()
