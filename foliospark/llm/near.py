@@ -1,9 +1,9 @@
 """Records that repeat each other with small changes.
 
 One-permutation hashing with optimal densification makes a signature of each distinct record, bands
-of it are buckets, and a bucket yields a star of candidates around its least and its greatest
-member, so a bucket of m members costs 2 m pairs. Every candidate is then checked exactly, and
-members of one checked star are compared with each other, so that no link within a group is lost.
+of it are buckets, and a bucket yields stars of candidates around two of its members, drawn by hash, so
+a bucket of m members costs 2 m pairs. Every candidate is then checked exactly, and records that have a
+checked neighbour in common are compared with each other until nothing new is found.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm.graph import components
@@ -29,6 +29,8 @@ COMMON = 0.02
 MOST_COMMON_WORDS = 500_000
 #: Of 128 sketch bits, as many agree at least; texts at the threshold agree in 107 on average, others in 66.
 BITS = 84
+#: Neighbours by which a record meets others that were checked with them.
+HUBS = 4
 SALTS = 8
 _BLANK = r"(?U)[\s\x1c-\x1f]+"
 _MIX = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)]
@@ -136,22 +138,30 @@ class NearRecords:
         self._signed = signed.select("rep", "s1", "s2")
         self._elements = signed.select("rep", "e")
         buckets = signed.select("rep", F.explode("bands").alias("bucket"))
-        stars = buckets.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+        drawn = F.xxhash64("bucket", "rep")
+        stars = buckets.groupBy("bucket").agg(F.min_by("rep", drawn).alias("low"), F.max_by("rep", drawn).alias("high")).where("low != high")
         salted = stars.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         rays = buckets.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["bucket", "salt"])
-        pairs = rays.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("rep").alias("b")), F.struct(F.col("rep").alias("a"), F.col("high").alias("b")))).alias("p"))
-        links = checked = cut(self._check(pairs.select("p.a", "p.b").where("a < b").distinct()))
+        pairs = rays.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("rep").alias("b")), F.struct(F.col("high").alias("a"), F.col("rep").alias("b")))).alias("p"))
+        links = cut(self._check(pairs.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).where("a < b").distinct()))
+        tried = None
         while True:
-            # members of one star are compared with each other, until nothing new is found
+            # a record's hubs are itself and the HUBS of its neighbours that come first by hash, so that
+            # records with like neighbourhoods share hubs, however many neighbours they have
             both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            hubs = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"), F.greatest("a", F.max("b")).alias("high"))
-            near = hubs.select(F.col("a").alias("x"), F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("low").alias("c")), F.struct(F.lit(1).alias("k"), F.col("high").alias("c")))).alias("hub"))
-            left, right = near.select(F.col("x").alias("a"), "hub"), near.select(F.col("x").alias("b"), "hub")
-            new = left.join(right, "hub").where("a < b").select("a", "b").distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
+            first = Window.partitionBy("a").orderBy(F.xxhash64("b"), "b")
+            hubs = both.withColumn("k", F.row_number().over(first)).where(F.col("k") <= HUBS).select("a", F.col("b").alias("hub"))
+            near = cut(hubs.unionAll(both.select("a", F.col("a").alias("hub")).distinct()))
+            left, right = near.select("a", "hub"), near.select(F.col("a").alias("b"), "hub")
+            new = left.join(right, "hub").where("a < b").select("a", "b").distinct().join(links.select("a", "b"), ["a", "b"], "left_anti")
+            if tried is not None:
+                new = new.join(tried, ["a", "b"], "left_anti")
+            new = cut(new)
             found = cut(self._check(new))
+            tried = new if tried is None else new.unionAll(tried)
             if found.isEmpty():
                 return links
-            links = checked = cut(links.unionAll(found))
+            links = cut(links.unionAll(found))
 
     def _check(self, pairs: DataFrame) -> DataFrame:
         """Exact similarity of pairs whose sketches agree enough."""
