@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.sources.tables import once_per, spread
+from foliospark.sources.tables import cut, once_per, spread
 
 LABELS = ["header", "number", "opening", "table", "body"]
 SHAPES = ["number", "row", "chapter", "caps", "title", "stamped", "prose"]
@@ -103,7 +103,7 @@ def shape(line: str, before: str, width: int, title: str = "") -> str:
         return "caps"
     words = bare.split()
     short = len(s) <= 0.8 * width or len(words) <= 8 and len(s) < width
-    if short and not s.endswith(tuple(_ENDS)) and 0 < len(words) <= 12:
+    if short and not s.endswith((*_ENDS, *HYPHENS)) and 0 < len(words) <= 12:
         named = [w for w in words if w.lower().strip("'’") not in _SMALL]
         title = bool(named) and sum(w[0].isupper() or not w[0].isalpha() for w in named) >= 0.6 * len(named)
         if stamped and (title or len(words) <= 7 and not before.rstrip().endswith(("-", ","))):
@@ -406,6 +406,7 @@ def vocabulary(pages: DataFrame) -> dict[str, int]:
     1 / WORD_SHARE entries whatever the collection's size."""
     pairs = F.array_join(F.transform(F.col("accepted_qas"), lambda q: F.concat_ws(" ", q["question"], q["answer"])), "\n")
     words = pages.select(F.explode(_words_of(F.concat_ws("\n", "page_text", pairs))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    words = cut(words)  # read twice: for the sum and for the frequent ones
     total = words.agg(F.sum("n")).first()[0] or 0
     kept = words.where(F.col("n") >= max(2, math.ceil(WORD_SHARE * total)))
     return {r["word"]: r["n"] for r in kept.toLocalIterator()}
@@ -413,7 +414,9 @@ def vocabulary(pages: DataFrame) -> dict[str, int]:
 
 def fitted_model(pages: DataFrame, sample: int = SAMPLE_PAGES) -> LineModel:
     """The line model, fitted on at most ``sample`` pages (those with the least hashes of their id)."""
-    rows = pages.where("page_text is not null").select("artifact_id", "source_book", "page_text").orderBy(F.xxhash64("artifact_id")).limit(sample).collect()
+    # ids first, so that no task sends texts which others displace
+    ids = [r[0] for r in pages.where("page_text is not null").select("artifact_id").orderBy(F.xxhash64("artifact_id"), "artifact_id").limit(sample).collect()]
+    rows = pages.where(F.col("artifact_id").isin(ids)).select("source_book", "page_text").collect() if ids else []
     return LineModel().fit([page_shapes(page_lines(r["page_text"]), book_title(r["source_book"]))[1] for r in rows])
 
 
