@@ -115,7 +115,7 @@ def balanced_bins(groups: DataFrame, bins: int = BINS, block: int = BLOCK) -> Da
         path = step.select("node", "slot", "bin") if path is None else path.select(F.col("node").alias("first"), F.col("slot").alias("node")).join(step, "node").select(F.col("first").alias("node"), "slot", "bin")
         if blocks == 1:
             return path.select("node", "bin")
-        fewer = max(1, math.ceil(blocks * bins / block))
+        fewer = max(1, min(math.ceil(blocks * bins / block), blocks // 2))
         level = (
             filled.groupBy("block", "bin").agg(F.first("weight").alias("weight"))
             .select(slot.alias("node"), "weight", F.col("block").cast("string").alias("parent"), F.pmod(F.col("block"), F.lit(fewer)).alias("block"))
