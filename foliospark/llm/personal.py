@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.sources.tables import spread
+from foliospark.sources.tables import cut, spread
 
 KINDS = ["email", "phone", "identity_number", "address", "name"]
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "identity_number": "[ID]", "address": "[ADDRESS]", "name": "[NAME]"}
@@ -136,6 +136,8 @@ class Names:
                     surname, given, initial = m["s1"] or m["s2"], m["g1"], m["i2"]
                 if not self.surname(surname) or (given and not self.first(given)) or (turned and self.first(surname)):
                     continue
+                if turned and given and self._goes_on(text, m.start("g")):
+                    continue
                 if given and not turned and given.isupper() != surname.isupper():
                     continue
                 if self._placed(text, m.start(), m.end()):
@@ -144,6 +146,11 @@ class Names:
                 at = m.end()
         return found
 
+    def _goes_on(self, text: str, at: int) -> bool:
+        """Whether the given name after a comma has its surname after it, so that the word before isn't one."""
+        m = _NAME.match(text, at)
+        return bool(m and m["s1"] and self.surname(m["s1"]) and not self.first(m["s1"]))
+
     @staticmethod
     def _placed(text: str, start: int, end: int) -> bool:
         """Whether a place or institution is named after the person."""
@@ -311,12 +318,14 @@ def learned_names(docs: DataFrame, given_names: DataFrame) -> Names:
     texts = spread(docs.select("text").where("text is not null"))
     words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![\p{L}\d@＠.+_-])\p{L}{2,}(?![\p{L}\d@＠+_]|[.-]\p{L})"), F.lit(0))).alias("w"))
     counts = words.groupBy(F.lower("w").alias("word")).agg(F.count("*").alias("n"), F.count_if(F.col("w") == F.lower("w")).alias("small"))
+    counts = cut(counts)  # one row per word, read three times
     total = counts.agg(F.sum("n")).first()[0] or 0
     listed = {r[0].strip().lower() for r in given_names.select("given_name").where("given_name is not null").distinct().limit(200_000).toLocalIterator()}
     floor = max(8.0, COMMON_SHARE * total)
     common = {r["word"] for r in counts.where(F.col("n") >= floor).select("word").toLocalIterator()}
     pairs = texts.mapInPandas(_candidate_pairs, "given string, surname string, turned int")
     many = pairs.groupBy("given").agg(F.count_distinct(F.when(F.col("turned") == 0, F.col("surname"))).alias("before"), F.count_distinct(F.when(F.col("turned") == 1, F.col("surname"))).alias("turned"), F.count("*").alias("n"))
+    many = cut(many)
     all_pairs = many.agg(F.sum("n")).first()[0] or 0
     enough = many.where((F.col("before") >= max(LEARNED_PAIRS, math.ceil(LEARNED_SHARE * all_pairs))) & (F.col("turned") >= 1))
     small = counts.where(F.col("small") > 0).select(F.col("word").alias("given"), "small")
