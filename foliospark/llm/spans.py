@@ -46,15 +46,16 @@ def single_spaced(text: Column) -> Column:
 
 
 def texts_of(pages: DataFrame, records: DataFrame) -> DataFrame:
-    """``(tbl, row_id, part, text)``: page texts (tbl 0), and the user and assistant messages of records (tbl 1).
+    """``(tbl, row_id, part, r, text)``: page texts (tbl 0), and the user and assistant messages of records (tbl 1).
 
-    Texts are single-spaced; part counts the texts of a row. Null texts, rows without an id and texts shorter than SPAN have no
+    r is one number per row of either table (ids are taken to lie within 62 bits). Texts are single-spaced; part counts the texts of a row. Null texts, rows without an id and texts shorter than SPAN have no
     shared spans and are left out.
     """
     page = pages.select(F.lit(0).alias("tbl"), F.col("artifact_id").alias("row_id"), F.lit(0).alias("part"), F.col("page_text").alias("text"))
     said = records.select(F.lit(1).alias("tbl"), F.col("record_id").alias("row_id"), F.posexplode("messages").alias("part", "m")).where(F.col("m.role").isin("user", "assistant"))
     both = page.unionByName(said.select("tbl", "row_id", "part", F.col("m.content").alias("text")))
-    return both.where("row_id is not null").withColumn("text", single_spaced(F.col("text"))).where(F.length("text") >= SPAN)
+    row = (F.shiftleft("row_id", 1) + F.col("tbl")).alias("r")
+    return both.where("row_id is not null").select("tbl", "row_id", "part", row, single_spaced(F.col("text")).alias("text")).where(F.length("text") >= SPAN)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -136,7 +137,7 @@ def _find_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 part = pdf.iloc[a:b]
                 codes = [_codes(t) for t in part["text"]]
                 h, owner, _ = anchors_of(np.concatenate(codes), np.array([len(c) for c in codes]))
-                yield pd.DataFrame({"h": h, "tbl": part["tbl"].to_numpy()[owner], "row_id": part["row_id"].to_numpy()[owner]}).drop_duplicates()
+                yield pd.DataFrame({"h": h, "r": part["r"].to_numpy()[owner]}).drop_duplicates()
 
 
 def _places(text: str, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,10 +152,10 @@ def _cut_phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     with np.errstate(over="ignore"):
         for pdf in batches:
             out = []
-            for tbl, row_id, text, wanted in zip(pdf["tbl"], pdf["row_id"], pdf["text"], pdf["hs"]):
+            for r, text, wanted in zip(pdf["r"], pdf["text"], pdf["hs"]):
                 at, h = _places(text, wanted)
-                out += [(p, k, tbl, row_id) for k, p in {(k, text[a : a + PHRASE]) for a, k in zip(at.tolist(), h.tolist())}]
-            yield pd.DataFrame(out, columns=["phrase", "h", "tbl", "row_id"])
+                out += [(p, k, r) for k, p in {(k, text[a : a + PHRASE]) for a, k in zip(at.tolist(), h.tolist())}]
+            yield pd.DataFrame(out, columns=["phrase", "h", "r"])
 
 
 def _route(shards: int):
@@ -164,7 +165,7 @@ def _route(shards: int):
         with np.errstate(over="ignore"):
             for pdf in batches:
                 out = []
-                for tbl, row_id, part, text, wanted in zip(pdf["tbl"], pdf["row_id"], pdf["part"], pdf["text"], pdf["hs"]):
+                for r, part, text, wanted in zip(pdf["r"], pdf["part"], pdf["text"], pdf["hs"]):
                     at, h = _places(text, wanted)
                     shard = h % shards
                     for s in np.unique(shard).tolist():
@@ -172,23 +173,23 @@ def _route(shards: int):
                         a, b = np.maximum(mine - (SPAN - PHRASE), 0), mine + SPAN
                         first = np.r_[True, a[1:] > b[:-1]]
                         last = np.r_[first[1:], True]
-                        out += [(s, tbl, row_id, part, x, text[x:y]) for x, y in zip(a[first].tolist(), b[last].tolist())]
-                yield pd.DataFrame(out, columns=["shard", "tbl", "row_id", "part", "offset", "text"])
+                        out += [(s, r, part, x, text[x:y]) for x, y in zip(a[first].tolist(), b[last].tolist())]
+                yield pd.DataFrame(out, columns=["shard", "r", "part", "offset", "text"])
 
     return run
 
 
-def _differ(prefix: str = "") -> Column:
-    return (F.col(f"{prefix}lo_id") != F.col(f"{prefix}hi_id")) | (F.col(f"{prefix}lo_tbl") != F.col(f"{prefix}hi_tbl"))
+#: Tells whether something stands in two rows, after ``_range``.
+_TWO_ROWS = "lo < hi"
 
 
-def _range(ids: tuple[str, str] = ("row_id", "row_id"), tbls: tuple[str, str] = ("tbl", "tbl")) -> list[Column]:
-    return [F.min(ids[0]).alias("lo_id"), F.max(ids[1]).alias("hi_id"), F.min(tbls[0]).alias("lo_tbl"), F.max(tbls[1]).alias("hi_tbl")]
+def _range(lo: str = "r", hi: str = "r") -> list[Column]:
+    return [F.min(lo).alias("lo"), F.max(hi).alias("hi")]
 
 
 def _stream(key: tuple, phrases: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
     """All phrases of a shard in the texts routed to it: the contexts of their occurrences."""
-    columns = ["tbl", "row_id", "part", "at", "lead", "context"]
+    columns = ["r", "part", "at", "lead", "context"]
     if phrases.empty or texts.empty:
         return pd.DataFrame([], columns=columns)
     trie = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
@@ -196,7 +197,7 @@ def _stream(key: tuple, phrases: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFr
         trie.add_word(p)
     trie.make_automaton()
     out = []
-    for tbl, row_id, part, offset, text in zip(texts["tbl"], texts["row_id"], texts["part"], texts["offset"], texts["text"]):
+    for r, part, offset, text in zip(texts["r"], texts["part"], texts["offset"], texts["text"]):
         before = -1
         for end, _ in trie.iter(text):
             at = end - PHRASE + 1
@@ -205,7 +206,7 @@ def _stream(key: tuple, phrases: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFr
             before = at
             context = text[at - lead : at + SPAN]
             if len(context) >= SPAN:
-                out.append((tbl, row_id, part, offset + at - lead, lead, context))
+                out.append((r, part, offset + at - lead, lead, context))
     return pd.DataFrame(out, columns=columns)
 
 
@@ -225,77 +226,80 @@ def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             of = np.concatenate(of)
             yield pd.DataFrame({"f": np.concatenate(f).view(np.int64), "g": np.concatenate(g).view(np.int64), "start": np.concatenate(at), "cid": pdf["cid"].to_numpy()[of],
-                                **{c: pdf[c].to_numpy()[of] for c in ("lo_id", "hi_id", "lo_tbl", "hi_tbl")}})
+                                **{c: pdf[c].to_numpy()[of] for c in ("lo", "hi", "open")}})
 
 
 class SharedSpans:
-    """Occurrences of recurring phrases in ``texts`` (tbl, row_id, part, text), and which of their windows recur.
+    """Rows of ``texts`` (tbl, row_id, part, r, text) that share spans, and how much of them is shared.
 
-    ``occurrences``: (tbl, row_id, part, at, cid); ``windows``: (cid, start) for all recurring windows, where
-    at + start is the place of the window in its text. Rows delivered twice are one row, and a span that
-    recurs only within its own row isn't shared.
+    Rows delivered twice are one row, and a span that recurs only within its own row isn't shared.
+    ``occurrences``: (r, part, at, cid) of recurring phrases, cid being the context; ``contexts``: (cid, lead, context, lo, hi),
+    with the least and greatest row that has it.
     """
 
     def __init__(self, texts: DataFrame):
         self.texts = texts = spread(texts)
-        anchors = cut(texts.select("tbl", "row_id", "text").mapInPandas(_find_anchors, "h long, tbl int, row_id long"))
-        recurring = anchors.groupBy("h").agg(*_range()).where(_differ()).select("h")
-        hits = anchors.join(recurring, "h").groupBy("tbl", "row_id").agg(F.collect_set("h").alias("hs"))  # of one row
-        holders = cut(texts.join(hits, ["tbl", "row_id"]))
-        phrases = holders.select("tbl", "row_id", "text", "hs").mapInPandas(_cut_phrases, "phrase string, h long, tbl int, row_id long")
-        confirmed = cut(phrases.groupBy("phrase", "h").agg(*_range()).where(_differ()).select("phrase", "h"))
+        anchors = cut(texts.select("r", "text").mapInPandas(_find_anchors, "h long, r long"))
+        recurring = anchors.groupBy("h").agg(*_range()).where(_TWO_ROWS).select("h")
+        hits = anchors.join(recurring, "h").groupBy("r").agg(F.collect_set("h").alias("hs"))  # of one row
+        holders = cut(texts.select("r", "part", "text").join(hits, "r"))
+        phrases = holders.select("r", "text", "hs").mapInPandas(_cut_phrases, "phrase string, h long, r long")
+        confirmed = cut(phrases.groupBy("phrase", "h").agg(*_range()).where(_TWO_ROWS).select("phrase", "h"))
         n, characters = confirmed.count(), holders.agg(F.sum(F.length("text"))).first()[0] or 0
         shards, tasks = max(1, math.ceil(n / SHARD_PHRASES)), max(1, math.ceil(characters / TASK_CHARACTERS))
-        self._locate(holders, confirmed, shards, tasks)
-
-    def _locate(self, holders: DataFrame, confirmed: DataFrame, shards: int, tasks: int) -> None:
         # a text meets only the shards that hold a phrase chosen in it, and only with the stretches around
         # those phrases; each task of a shard compiles the shard's automaton for its part of the texts
         compiled = confirmed.select("phrase", F.pmod("h", F.lit(shards)).cast("int").alias("shard")).withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
-        routed = holders.mapInPandas(_route(shards), "shard int, tbl int, row_id long, part int, offset int, text string").withColumn(
-            "task", F.pmod(F.xxhash64("tbl", "row_id", "part"), F.lit(tasks)).cast("int"))
-        found = compiled.groupBy("shard", "task").cogroup(routed.groupBy("shard", "task")).applyInPandas(_stream, "tbl int, row_id long, part int, at int, lead int, context string")
-        cid = F.xxhash64("context", "lead")
-        seen = found.withColumn("cid", cid)
-        whole = cut(seen)
-        self.occurrences = whole.select("tbl", "row_id", "part", "at", "cid").distinct()
-        contexts = cut(whole.groupBy("cid").agg(*_range(), F.min("lead").alias("lead"), F.min("context").alias("context")))
-        near = self._meeting(contexts)
-        windows = near.mapInPandas(_fingerprints, "f long, g long, start int, cid long, lo_id long, hi_id long, lo_tbl int, hi_tbl int")
-        twice = windows.groupBy("f", "g").agg(*_range(("lo_id", "hi_id"), ("lo_tbl", "hi_tbl"))).where(_differ()).select("f", "g")
-        # a context of two rows or more recurs as a whole; only windows of the others have to be looked up
-        alone = windows.where(~_differ()).select("f", "g", "cid", "start").join(twice, ["f", "g"]).select("cid", "start")
-        last = F.least(F.col("lead"), F.length("context") - SPAN)
-        together = contexts.where(_differ()).select("cid", F.explode(F.sequence(F.lit(0), last)).alias("start"))
-        self.windows = alone.unionAll(together)
+        routed = holders.mapInPandas(_route(shards), "shard int, r long, part int, offset int, text string").withColumn("task", F.pmod(F.xxhash64("r", "part"), F.lit(tasks)).cast("int"))
+        found = compiled.groupBy("shard", "task").cogroup(routed.groupBy("shard", "task")).applyInPandas(_stream, "r long, part int, at int, lead int, context string")
+        whole = cut(found.withColumn("cid", F.xxhash64("context", "lead")))
+        self.occurrences = whole.select("r", "part", "at", "cid").distinct()
+        self.contexts = cut(whole.groupBy("cid").agg(*_range(), F.min("lead").alias("lead"), F.min("context").alias("context")))
 
     @staticmethod
     def _meeting(contexts: DataFrame) -> DataFrame:
-        """Contexts that may share a window with a different context.
+        """Contexts that may share a window with a different context, one of the two being open.
 
         Two contexts of one phrase that share a window have in common what reaches from the last multiple of
         STEP before the phrase that the window holds to STEP characters short of its end; that stretch is the key.
         """
         right = F.greatest(F.lit(SPAN - PHRASE - STEP + 1) - F.col("left"), F.lit(0))
-        keyed = contexts.select("cid", "lead", "context", F.explode(F.sequence(F.lit(0), F.col("lead"), F.lit(STEP))).alias("left")).select(
-            "cid", F.xxhash64("left", F.substring("context", F.col("lead") - F.col("left") + 1, F.col("left") + PHRASE + right)).alias("key"))
-        shared = keyed.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).where("a < b").select("key")
+        keyed = contexts.select("cid", "open", "lead", "context", F.explode(F.sequence(F.lit(0), F.col("lead"), F.lit(STEP))).alias("left")).select(
+            "cid", "open", F.xxhash64("left", F.substring("context", F.col("lead") - F.col("left") + 1, F.col("left") + PHRASE + right)).alias("key"))
+        shared = keyed.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("b"), F.bool_or("open").alias("o")).where("o and a < b").select("key")
         return contexts.join(keyed.join(shared, "key").select("cid").distinct(), "cid", "left_semi")
 
+    def _recurring(self, contexts: DataFrame) -> DataFrame:
+        """``(cid, start)`` of the windows of open contexts (a boolean column) that also stand in another row."""
+        windows = self._meeting(contexts).mapInPandas(_fingerprints, "f long, g long, start int, cid long, lo long, hi long, open boolean")
+        twice = windows.groupBy("f", "g").agg(*_range("lo", "hi")).where(_TWO_ROWS).select("f", "g")
+        return windows.where("open").select("f", "g", "cid", "start").join(twice, ["f", "g"]).select("cid", "start")
+
     def rows(self) -> DataFrame:
-        """``(tbl, row_id)`` of rows that share a span."""
-        return self.occurrences.join(self.windows.select("cid").distinct(), "cid").select("tbl", "row_id").distinct()
+        """``(tbl, row_id)`` of rows that share a span.
+
+        A context that two rows have is shared as a whole, which settles most rows; only contexts of the
+        others are open, and compared window by window.
+        """
+        both = self.contexts.where(_TWO_ROWS).select("cid")
+        settled = cut(self.occurrences.join(both, "cid").select("r").distinct())
+        marked = self.contexts.join(settled.select(F.col("r").alias("lo"), F.lit(True).alias("_settled")), "lo", "left").withColumn("open", F.col("_settled").isNull()).drop("_settled")
+        more = marked.select("cid", "lo").join(self._recurring(marked).select("cid").distinct(), "cid").select(F.col("lo").alias("r"))
+        return settled.unionAll(more).distinct().select(F.pmod("r", F.lit(2)).cast("int").alias("tbl"), F.shiftright("r", 1).alias("row_id"))
 
     def shares(self) -> DataFrame:
         """``(tbl, row_id, shared_chars, n_chars)`` of rows that share a span: characters that lie in a shared span, and all."""
-        starts = self.occurrences.join(self.windows.groupBy("cid").agg(F.collect_set("start").alias("starts")), "cid")  # at most SPAN starts
-        places = starts.select("tbl", "row_id", "part", F.explode(F.transform("starts", lambda s: s + F.col("at"))).alias("s")).distinct()
-        spans = places.groupBy("tbl", "row_id", "part").agg(F.array_sort(F.collect_set("s")).alias("s"))  # of one text
+        alone = self._recurring(self.contexts.withColumn("open", F.col("lo") == F.col("hi")))
+        last = F.least(F.col("lead"), F.length("context") - SPAN)
+        windows = alone.unionAll(self.contexts.where(_TWO_ROWS).select("cid", F.explode(F.sequence(F.lit(0), last)).alias("start")))
+        starts = self.occurrences.join(windows.groupBy("cid").agg(F.collect_set("start").alias("starts")), "cid")  # at most SPAN starts
+        places = starts.select("r", "part", F.explode(F.transform("starts", lambda s: s + F.col("at"))).alias("s")).distinct()
+        spans = places.groupBy("r", "part").agg(F.array_sort(F.collect_set("s")).alias("s"))  # of one text
         # a window adds what it doesn't share with the window before it
         covered = F.aggregate(F.sequence(F.lit(1), F.size("s")), F.lit(0), lambda n, k: n + F.when(k == 1, F.lit(SPAN)).otherwise(F.least(F.lit(SPAN), F.element_at("s", k) - F.element_at("s", F.greatest(k - 1, F.lit(1))))))
-        shared = spans.select("tbl", "row_id", covered.alias("shared")).groupBy("tbl", "row_id").agg(F.sum("shared").alias("shared_chars"))
-        sizes = self.texts.dropDuplicates(["tbl", "row_id", "part"]).groupBy("tbl", "row_id").agg(F.sum(F.length("text")).alias("n_chars"))
-        return shared.join(sizes, ["tbl", "row_id"])
+        shared = spans.select("r", covered.alias("shared")).groupBy("r").agg(F.sum("shared").alias("shared_chars"))
+        sizes = self.texts.select("r", "part", F.length("text").alias("n")).dropDuplicates(["r", "part"]).groupBy("r").agg(F.sum("n").alias("n_chars"))
+        return shared.join(sizes, "r").select(F.pmod("r", F.lit(2)).cast("int").alias("tbl"), F.shiftright("r", 1).alias("row_id"), "shared_chars", "n_chars")
 
 
 def named(rows: DataFrame) -> DataFrame:
