@@ -22,13 +22,15 @@ def _chats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def page_keywords(spark: SparkSession, d: str) -> DataFrame:
-    made = pages.page_artifacts(spread(_pages(spark, d).select("artifact_id", "page_text", "accepted_qas")))
-    return made.select("artifact_id", F.array_join("keywords", "|").alias("keywords"))
+    # repeated rows have the same keywords, so only those are shuffled
+    made = pages.page_artifacts(spread(table(spark, d, "page_artifacts").select("artifact_id", "page_text", "accepted_qas")))
+    return once_per(made.select("artifact_id", F.array_join("keywords", "|").alias("keywords")), "artifact_id")
 
 
 def page_headings(spark: SparkSession, d: str) -> DataFrame:
     text = F.coalesce("page_text", F.lit(""))
-    return _pages(spark, d).select("artifact_id", heading(text).alias("heading"), F.array_join(first_lines(text), "|").alias("first_lines"))
+    made = table(spark, d, "page_artifacts").select("artifact_id", heading(text).alias("heading"), F.array_join(first_lines(text), "|").alias("first_lines"))
+    return once_per(made, "artifact_id")
 
 
 def page_question_types(spark: SparkSession, d: str) -> DataFrame:

@@ -22,15 +22,18 @@ def keyword_text(page_text: Column, qas: Column) -> Column:
     return F.concat(F.coalesce(page_text, F.lit("")), F.lit("\n"), said)
 
 
-def top_terms(found: Column, n: int = 20) -> Column:
-    """The ``n`` most frequent entries of an array, ties by first appearance, without leaving the row.
+def with_top_terms(df: DataFrame, found: Column, name: str = "keywords", n: int = 20) -> DataFrame:
+    """Adds the ``n`` most frequent entries of an array, ties by first appearance, without leaving the row.
 
-    Distinct terms keep the order of their first appearance; sorting (-count, place) ranks them. The cost
-    grows with distinct terms times terms of one page, not with the table, and no row is shuffled.
+    In the sorted array a term's copies lie side by side, so its count is the distance to the next term. The arrays
+    are columns of their own first: inside a lambda they would be computed for every element.
     """
-    distinct = F.array_distinct(found)
-    counted = F.transform(distinct, lambda t, k: F.struct((-F.size(F.filter(found, lambda x: x == t))).alias("n"), k.alias("k"), t.alias("t")))
-    return F.transform(F.slice(F.array_sort(counted), 1, n), lambda s: s["t"])
+    t, s, d = (F.col(f"_{name}_{k}") for k in "tsd")
+    made = df.withColumn(f"_{name}_t", found).withColumn(f"_{name}_s", F.sort_array(t)).withColumn(f"_{name}_d", F.array_distinct(s))
+    after = lambda k: F.coalesce(F.array_position(s, F.get(d, k + 1)), F.size(s) + 1)
+    counted = F.transform(d, lambda x, k: F.struct((F.array_position(s, x) - after(k)).alias("n"), F.array_position(t, x).alias("first"), x.alias("term")))
+    ranked = made.withColumn(name, F.transform(F.slice(F.sort_array(counted), 1, n), lambda x: x["term"]))
+    return ranked.drop(f"_{name}_t", f"_{name}_s", f"_{name}_d")
 
 
 def question_types(qas: Column) -> Column:
@@ -44,12 +47,12 @@ def page_artifacts(pages: DataFrame) -> DataFrame:
     """Adds heading_candidate, first_non_empty_lines, keywords and question_type_distribution to pages
     (page_text, accepted_qas, and any other columns, which are kept). Null and empty texts give '' and empty
     arrays. One projection without a shuffle."""
-    return pages.withColumns({
+    made = pages.withColumns({
         "heading_candidate": heading(F.coalesce("page_text", F.lit(""))),
         "first_non_empty_lines": first_lines(F.coalesce("page_text", F.lit(""))),
-        "keywords": top_terms(terms(keyword_text(F.col("page_text"), F.col("accepted_qas")))),
         "question_type_distribution": question_types(F.col("accepted_qas")),
     })
+    return with_top_terms(made, terms(keyword_text(F.col("page_text"), F.col("accepted_qas"))))
 
 
 def skipped(pages: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ def spread(df: DataFrame, at_least: int | None = None) -> DataFrame:
     """``df`` in at least as many partitions as there are cores, for stages that are bound by CPU.
 
     A table with enough splits is returned as it is, so nothing is shuffled at scale; only a
-    small table in one file is dealt out anew.
+    small table in one file is dealt out anew. For plans without a shuffle: asking a plan with one for its partitions
+    would run it.
     """
     want = at_least or df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
