@@ -9,6 +9,7 @@ many different surnames.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections.abc import Iterator
@@ -98,6 +99,11 @@ _NAME = re.compile(
 )
 _TURNED = re.compile(rf"(?<![\w.@＠+'’-])(?P<s>{_SURNAME}),\s(?:(?P<g>{_CAP}|{_UPP})(?:\s[A-ZÀ-Þ]\.)?|(?P<i>[A-ZÀ-Þ])\.)(?![\w@＠]|[-+]\w)")
 _WORD = re.compile(r"[^\W\d_]+")
+_CAPITALISED = re.compile(r"(?<![\w.@＠+'’-])[A-ZÀ-ÖØ-Þ][^\W\d_]+")
+_INITIAL = re.compile(r"(?<![\w.@＠+'’-])[A-ZÀ-ÖØ-Þ]\.(?=\s?[A-ZÀ-ÖØ-Þ]|[^\w]|$)")
+_DIGITS = re.compile(r"\d(?:[ \-./()A-Z]*\d){5,}[ -]?[A-Z0-9]?(?!\w)|[A-Z]\d{2,3}[A-Z]\d{4,}\w*")
+_HOUSE_NUMBER = re.compile(r"(?<![\w.])\d{1,4}(?:\s?[a-h]|\s(?:bis|ter))?(?!\w)")
+_GERMAN_PLACE = re.compile(r"\b(?:Am|An|Im|In|Zum|Zur|Auf|Unter|Hinter|Vor|Beim)\s(?:d\w+\s)?[A-ZÄÖÜ][^\d.!?]*$")
 
 
 @lru_cache(maxsize=1)
@@ -105,8 +111,8 @@ def _anchors() -> ahocorasick.Automaton:
     trie = ahocorasick.Automaton()
     for sign in ("@", "＠", " at ", "[at]", "(at)", "{at}", "<at>", "[ at ]", "( at )", " arroba ", " arobase ", "(arroba)", "[arroba]", "(a)", "[a]", "arobase", " ät ", "(ät)"):
         trie.add_word(sign, "email")
-    for word in [w.lower() for w in STREETS_EN + STREETS_FR + STREETS_ES + STREETS_DE] + ["am ", "an der ", "an den ", "im ", "in der ", "zum ", "zur ", "auf dem ", "auf der ", "unter den ", "beim ", "vor dem ", "hinter d"]:
-        trie.add_word(word, "address")
+    for word in STREETS_EN + STREETS_FR + STREETS_ES + STREETS_DE:
+        trie.add_word(word.lower(), "address")
     trie.make_automaton()
     return trie
 
@@ -125,27 +131,38 @@ class Names:
         return word.lower() in self.given
 
     def find(self, text: str) -> list[tuple[int, int]]:
-        found = []
-        for pattern, turned in ((_TURNED, True), (_NAME, False)):
-            at = 0
-            while m := pattern.search(text, at):
-                at = m.start() + 1
-                if turned:
-                    surname, given, initial = m["s"], m["g"], m["i"]
-                else:
-                    surname, given, initial = m["s1"] or m["s2"], m["g1"], m["i2"]
-                if not self.surname(surname) or (given and not self.first(given)) or (turned and self.first(surname)):
-                    continue
-                if turned and given and self._goes_on(text, m.start("g")):
-                    continue
-                if given and not turned and given.isupper() != surname.isupper():
-                    continue
-                if self._placed(text, m.start(), m.end()):
-                    continue
-                found.append((m.start(), m.end()))
-                at = m.end()
+        """Names around every given name and every initial before a capitalised word."""
+        spots = [m.start() for m in _CAPITALISED.finditer(text) if m.group().lower() in self.given]
+        spots += [m.start() for m in _INITIAL.finditer(text)]
+        found: list[tuple[int, int]] = []
+        for at in sorted(spots):
+            if found and at < found[-1][1]:
+                continue
+            item = self._turned(text, at) or self._straight(text, at)
+            if item and not self._placed(text, *item) and (not found or item[0] >= found[-1][1]):
+                found.append(item)
         return found
 
+    def _straight(self, text: str, at: int) -> tuple[int, int] | None:
+        m = _NAME.match(text, at)
+        if not m or not self.surname(m["s1"] or m["s2"]):
+            return None
+        if m["g1"] and (not self.first(m["g1"]) or m["g1"].isupper() != m["s1"].isupper()):
+            return None
+        return m.span()
+
+    def _turned(self, text: str, at: int) -> tuple[int, int] | None:
+        """``Surname, Given``, read backwards from the given name or initial."""
+        if text[at - 2 : at - 1] != "," or not text[at - 1].isspace():
+            return None
+        begin = at - 2
+        while begin > 0 and (text[begin - 1].isalpha() or text[begin - 1] in "-'’"):
+            begin -= 1
+        m = _TURNED.match(text, begin)
+        if not m or m.end() <= at or not self.surname(m["s"]) or self.first(m["s"]) or (m["g"] and (not self.first(m["g"]) or self._goes_on(text, at))):
+            return None
+        return m.span()
+
     def _goes_on(self, text: str, at: int) -> bool:
         """Whether the given name after a comma has its surname after it, so that the word before isn't one."""
         m = _NAME.match(text, at)
@@ -225,12 +242,13 @@ def find_items(text: str | None, names: Names) -> list[tuple[str, int, int]]:
     out: list[tuple[str, int, int]] = []
 
     def take(kind: str, start: int, end: int) -> None:
-        if all(end <= a or start >= b for a, b in taken):
-            taken.append((start, end))
+        k = bisect.bisect(taken, (start, end))
+        if (k == 0 or taken[k - 1][1] <= start) and (k == len(taken) or taken[k][0] >= end):
+            taken.insert(k, (start, end))
             out.append((kind, start, end))
 
-    streets = []
     lowered = text.lower()
+    streets = []
     for end, kind in _anchors().iter(lowered if len(lowered) == len(text) else text):
         if kind == "email":
             item = _emails(text, end if text[end] in "@＠" else end - 1)
@@ -238,33 +256,13 @@ def find_items(text: str | None, names: Names) -> list[tuple[str, int, int]]:
                 take("email", *item)
         else:
             streets.append(end)
-    if streets:
-        done = -1
-        for end in streets:
-            if end < done:
-                continue
-            a, b = max(0, end - 70), min(len(text), end + 60)
-            while a > 0 and text[a - 1].isalnum():
-                a -= 1
-            while b < len(text) and text[b].isalnum():
-                b += 1
-            for pattern in _ADDRESSES:
-                for m in pattern.finditer(text, a, b):
-                    if any(c.isdigit() for c in m.group()):
-                        take("address", m.start(), m.end())
-                        done = max(done, m.end())
-    for pattern, distinct in _IDENTITIES:
-        for m in pattern.finditer(text):
-            before = text[max(0, m.start() - 45) : m.start()]
-            if sum(c.isdigit() for c in m.group()) < 6 or _OTHER.search(before[-34:]):
-                continue
-            cue = None
-            for cue in _CUE.finditer(before):
-                pass
-            near = cue and not re.search(r"[.!?;]\s", before[cue.end() :]) and not re.search(r"\d{5}", before[cue.end() :])
-            if near or (distinct and not text[max(0, m.start() - 1) : m.start()] in ("+", "/", ".") and not _telephone_cue(before)):
-                take("identity_number", m.start(), m.end())
-    for m in _NUMBERS.finditer(text):
+    for start, end in _addresses(text, streets):
+        take("address", start, end)
+    runs = _stretches(text)
+    for a, b in runs:
+        for start, end in _identities(text, a, b):
+            take("identity_number", start, end)
+    for m in (m for a, b in runs for m in _NUMBERS.finditer(text, a, b)):
         start = m.start()
         opened = m.group().find(" (")
         if opened > 0 and m.group()[0] != "+":  # a number in brackets after another number
@@ -278,6 +276,52 @@ def find_items(text: str | None, names: Names) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda x: x[1])
 
 
+def _stretches(text: str) -> list[tuple[int, int]]:
+    """Stretches that hold six digits or more without words between, with what stands right around them."""
+    out: list[tuple[int, int]] = []
+    for m in _DIGITS.finditer(text):
+        a, b = max(0, m.start() - 6), min(len(text), m.end() + 6)
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], b
+        else:
+            out.append((a, b))
+    return out
+
+
+def _identities(text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
+    for pattern, distinct in _IDENTITIES:
+        for m in pattern.finditer(text, a, b):
+            before = text[max(0, m.start() - 45) : m.start()]
+            if sum(c.isdigit() for c in m.group()) < 6 or _OTHER.search(before[-34:]):
+                continue
+            cue = None
+            for cue in _CUE.finditer(before):
+                pass
+            near = cue and not re.search(r"[.!?;]\s", before[cue.end() :]) and not re.search(r"\d{5}", before[cue.end() :])
+            if near or (distinct and text[max(0, m.start() - 1) : m.start()] not in ("+", "/", ".") and not _telephone_cue(before)):
+                yield m.span()
+
+
+def _addresses(text: str, streets: list[int]) -> list[tuple[int, int]]:
+    """Addresses around house numbers that have a street word, or a German place, in reach."""
+    out: list[tuple[int, int]] = []
+    k = 0
+    for house in _HOUSE_NUMBER.finditer(text):
+        while k < len(streets) and streets[k] < house.start() - 60:
+            k += 1
+        near = k < len(streets) and streets[k] < house.end() + 60
+        if not near and not _GERMAN_PLACE.search(text, max(0, house.start() - 40), house.start()):
+            continue
+        a, b = max(0, house.start() - 70), min(len(text), house.end() + 70)
+        while a > 0 and text[a - 1].isalnum():
+            a -= 1
+        while b < len(text) and text[b].isalnum():
+            b += 1
+        for pattern in _ADDRESSES:
+            out += [m.span() for m in pattern.finditer(text, a, b) if m.start() < house.end() and m.end() >= house.end() and m.span() not in out[-6:]]
+    return out
+
+
 def _telephone_cue(before: str) -> bool:
     return bool(re.search(r"(?:tel|phone|ring|call|llam|appel|joindre|erreich|unter|fax|mobil)\w*\.?:?\s*(?:\w+\s)?$", before[-24:], re.IGNORECASE))
 
