@@ -28,12 +28,13 @@ def with_top_terms(df: DataFrame, found: Column, name: str = "keywords", n: int
     In the sorted array a term's copies lie side by side, so its count is the distance to the next term. The arrays
     are columns of their own first: inside a lambda they would be computed for every element.
     """
-    t, s, d = (F.col(f"_{name}_{k}") for k in "tsd")
+    t, s, d, p = (F.col(f"_{name}_{k}") for k in "tsdp")
     made = df.withColumn(f"_{name}_t", found).withColumn(f"_{name}_s", F.sort_array(t)).withColumn(f"_{name}_d", F.array_distinct(s))
-    after = lambda k: F.coalesce(F.array_position(s, F.get(d, k + 1)), F.size(s) + 1)
-    counted = F.transform(d, lambda x, k: F.struct((F.array_position(s, x) - after(k)).alias("n"), F.array_position(t, x).alias("first"), x.alias("term")))
+    made = made.withColumn(f"_{name}_p", F.transform(d, lambda x: F.array_position(s, x)))
+    count = lambda k: F.coalesce(F.get(p, k + 1), F.size(s) + 1) - F.get(p, k)
+    counted = F.transform(d, lambda x, k: F.struct((-count(k)).alias("n"), F.array_position(t, x).alias("first"), x.alias("term")))
     ranked = made.withColumn(name, F.transform(F.slice(F.sort_array(counted), 1, n), lambda x: x["term"]))
-    return ranked.drop(f"_{name}_t", f"_{name}_s", f"_{name}_d")
+    return ranked.drop(*(f"_{name}_{k}" for k in "tsdp"))
 
 
 def question_types(qas: Column) -> Column:
