@@ -21,7 +21,7 @@ from foliospark.sources.tables import cut, message, spread
 
 THRESHOLD = 0.8
 LEAST_WORDS = 45
-BANDS, ROWS = 48, 4
+BANDS, ROWS = 64, 5
 #: A word in more than this share of records counts less in the signature, in proportion.
 COMMON = 0.02
 #: Words that are common at most: the mean number of different words / COMMON. Far beyond what texts
