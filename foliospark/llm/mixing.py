@@ -43,11 +43,12 @@ def rates(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> D
     have = sizes.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents"))
     both = wanted.join(have, "source", "left").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
     there = F.when((F.col("tokens") > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0), F.col("target_share"))
-    limits = both.agg(F.sum(there).alias("share"), F.min(F.col("max_repeats") * F.col("tokens") / there).alias("most"))
-    size = F.lit(float(total)) if total is not None else F.col("most") * F.col("share")
-    return both.crossJoin(F.broadcast(limits)).select(  # limits is one row
-        "source", "target_share", "max_repeats", "tokens", F.coalesce("documents", F.lit(0)).alias("documents"),
-        F.when(F.col("tokens") > 0, F.least(size * F.try_divide(F.col("target_share"), F.col("share")) / F.col("tokens"), F.col("max_repeats").cast("double"))).otherwise(0.0).alias("rate"))
+    limits = both.agg(F.sum(there).alias("share"), F.min(F.col("max_repeats") * F.col("tokens") / there).alias("most")).first()  # one row
+    share = limits["share"] or 0.0
+    size = float(total) if total is not None else (limits["most"] or 0.0) * share
+    wanted_tokens = F.col("target_share") * (size / share if share else 0.0)
+    rate = F.when(F.col("tokens") > 0, F.least(wanted_tokens / F.col("tokens"), F.col("max_repeats").cast("double"))).otherwise(0.0)
+    return both.select("source", "target_share", "max_repeats", "tokens", F.coalesce("documents", F.lit(0)).alias("documents"), rate.alias("rate"))
 
 
 def pivot_round(probability: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -126,8 +127,7 @@ def mixed_copies(docs: DataFrame, targets: DataFrame, total: float | None = None
         "doc_id", "source", "n_tokens", F.least(F.col("whole") + F.coalesce("extra", F.lit(0)), "max_repeats").alias("copies")).where("copies > 0"))
     taken = copies.groupBy("source").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("taken"))
     sums = plan.join(taken, "source", "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
-    whole = sums.agg(F.sum("taken").alias("whole"))
-    report = sums.crossJoin(F.broadcast(whole)).select(  # one row
-        "source", "target_share", F.coalesce(F.try_divide(F.col("taken"), F.col("whole")), F.lit(0.0)).alias("actual_share"), "max_repeats", "documents",
-        F.col("tokens").alias("tokens_available"), F.col("taken").alias("tokens_taken"))
+    whole = sums.agg(F.sum("taken")).first()[0] or 0
+    share = F.col("taken") / whole if whole else F.lit(0.0)
+    report = sums.select("source", "target_share", share.alias("actual_share"), "max_repeats", "documents", F.col("tokens").alias("tokens_available"), F.col("taken").alias("tokens_taken"))
     return copies, report
