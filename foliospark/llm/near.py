@@ -1,9 +1,10 @@
 """Records that repeat each other with small changes.
 
 One-permutation hashing with optimal densification makes a signature of each distinct record, bands
-of it are buckets, and a bucket yields stars of candidates around two of its members, drawn by hash, so
-a bucket of m members costs 2 m pairs. Every candidate is then checked exactly, and records that have a
-checked neighbour in common are compared with each other until nothing new is found.
+of it are buckets, and all members of a bucket are compared with each other, large buckets in salted
+blocks: by their sketches, then exactly. So a bucket of m members costs m * m / 2 comparisons of sketches.
+Similar records that share no bucket may still meet: records that have one of their first HUBS
+neighbours, or themselves as neighbours, in common are compared until nothing new is found.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ BITS = 84
 #: Neighbours by which a record meets others that were checked with them.
 HUBS = 4
 SALTS = 8
+#: Members of one side of a block of comparisons.
+BLOCK = 1000
 _BLANK = r"(?U)[\s\x1c-\x1f]+"
 _MIX = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)]
 
@@ -137,13 +140,7 @@ class NearRecords:
         signed = cut(self.texts.mapInPandas(_signer(self._weights()), "rep long, bands array<long>, s1 long, s2 long, e array<long>"))
         self._signed = signed.select("rep", "s1", "s2")
         self._elements = signed.select("rep", "e")
-        buckets = signed.select("rep", F.explode("bands").alias("bucket"))
-        drawn = F.xxhash64("bucket", "rep")
-        stars = buckets.groupBy("bucket").agg(F.min_by("rep", drawn).alias("low"), F.max_by("rep", drawn).alias("high")).where("low != high")
-        salted = stars.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rays = buckets.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["bucket", "salt"])
-        pairs = rays.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("rep").alias("b")), F.struct(F.col("high").alias("a"), F.col("rep").alias("b")))).alias("p"))
-        links = cut(self._check(pairs.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).where("a < b").distinct()))
+        links = cut(self._exact(self._met(signed.select("rep", "s1", "s2", F.explode("bands").alias("bucket")))))
         tried = None
         while True:
             # a record's hubs are itself and the HUBS of its neighbours that come first by hash, so that
@@ -163,14 +160,33 @@ class NearRecords:
                 return links
             links = cut(links.unionAll(found))
 
+    def _met(self, buckets: DataFrame) -> DataFrame:
+        """``(a, b)``, a < b, of all records that share a bucket and whose sketches agree enough."""
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", blocks.alias("blocks"))
+        salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        shared = buckets.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["bucket", "salt"])
+        dealt = shared.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks")).cast("int"))
+        # blocks i <= j of a bucket meet once, in a task of their own
+        left = dealt.select("bucket", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.col("rep").alias("a"), "s1", "s2")
+        right = dealt.select("bucket", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("rep").alias("b"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
+        met = left.join(right, ["bucket", "i", "j"]).where(((F.col("i") < F.col("j")) | (F.col("a") < F.col("b"))) & self._agree())
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    @staticmethod
+    def _agree() -> Column:
+        return 128 - F.bit_count(F.col("s1").bitwiseXOR(F.col("t1"))) - F.bit_count(F.col("s2").bitwiseXOR(F.col("t2"))) >= BITS
+
     def _check(self, pairs: DataFrame) -> DataFrame:
         """Exact similarity of pairs whose sketches agree enough."""
-        s, e = self._signed, self._elements
-        agree = 128 - F.bit_count(F.col("s1").bitwiseXOR(F.col("t1"))) - F.bit_count(F.col("s2").bitwiseXOR(F.col("t2")))
-        alike = (
+        s = self._signed
+        return self._exact(
             pairs.join(s.select(F.col("rep").alias("a"), "s1", "s2"), "a").join(s.select(F.col("rep").alias("b"), F.col("s1").alias("t1"), F.col("s2").alias("t2")), "b")
-            .where(agree >= BITS).select("a", "b")
+            .where(self._agree()).select("a", "b")
         )
+
+    def _exact(self, alike: DataFrame) -> DataFrame:
+        e = self._elements
         texts = alike.join(e.select(F.col("rep").alias("a"), F.col("e").alias("x")), "a").join(e.select(F.col("rep").alias("b"), F.col("e").alias("y")), "b")
         similarity = 2 * F.size(F.array_intersect("x", "y")) / (F.size("x") + F.size("y"))
         return texts.select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= self.threshold)

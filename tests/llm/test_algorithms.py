@@ -143,6 +143,23 @@ def test_near_pairs_equal_brute_force(spark):
     assert {r["record_id"]: r["n_links"] for r in found.groups().collect()} == {k: links[k] for k in kept}
 
 
+def test_near_hot_group_of_edited_copies(spark, monkeypatch):
+    """1,200 copies of one text, each with 4 to 34 words of 90 replaced by words of its own: only some pairs are alike."""
+    monkeypatch.setattr(near, "BLOCK", 100, raising=False)
+    rng = np.random.default_rng(5)
+    n, words = 1200, 90
+    kept = np.ones((n, words), dtype=bool)
+    for k in range(n):
+        kept[k, rng.choice(words, rng.integers(4, 35), replace=False)] = False
+    data = [(k, chat(" ".join(f"t{i}" if kept[k, i] else f"e{k}x{i}" for i in range(words)), "")) for k in range(n)]
+    common = kept.astype(int) @ kept.T
+    a, b = np.nonzero(np.triu(common / words >= 0.8, 1))
+    want = set(zip(a.tolist(), b.tolist()))
+    got = [tuple(r) for r in near.NearRecords(spark.createDataFrame(data, CHAT)).pairs().collect()]
+    assert len(got) == len(set(got)) and set(got) <= want
+    assert len(want) > 10_000 and len(want) - len(got) <= len(want) / 1000
+
+
 def test_near_nothing(spark):
     found = near.NearRecords(spark.createDataFrame([], CHAT))
     assert found.pairs().count() == 0 and found.groups().count() == 0
