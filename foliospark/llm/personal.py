@@ -12,6 +12,7 @@ from __future__ import annotations
 import bisect
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,8 +25,12 @@ from foliospark.sources.tables import cut, spread
 
 KINDS = ["email", "phone", "identity_number", "address", "name"]
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "identity_number": "[ID]", "address": "[ADDRESS]", "name": "[NAME]"}
-#: A word is common if it makes up this share of all words: at most 50,000 words whatever the collection's size.
+#: A word can be common if it makes up this share of the different words of different texts: at most 50,000 words
+#: whatever the collection's size.
 COMMON_SHARE = 2e-5
+#: Such a word is common if it stands in small letters in this share of its texts, or else if it stands as a surname, with a
+#: given name or an initial, in less than NAMED_SHARE of the texts that have it in capitals.
+SMALL_SHARE, NAMED_SHARE = 0.1, 0.1
 #: A given name is learned if it stands with so many different surnames at least, and with this share of all
 #: such pairs, which bounds the learned names to 200,000.
 LEARNED_PAIRS, LEARNED_SHARE = 3, 5e-6
@@ -341,40 +346,60 @@ _PAIR = re.compile(rf"(?<![\w.@'’-])({_CAP})\s(?:[A-ZÀ-Þ]\.\s)?((?:{_CAP})(?
 _PAIR_TURNED = re.compile(rf"(?<![\w.@'’-])((?:{_CAP})(?:-{_CAP})*),\s({_CAP})(?![\w@])")
 
 
-def _candidate_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Capitalised pairs as (given, surname, whether turned)."""
+_INITIAL_PAIR = re.compile(rf"(?<![\w.@＠+'’-])[A-ZÀ-ÖØ-Þ]\.\s?(?:[A-ZÀ-Þ]\.\s?)?({_CAP})(?![\w@＠]|-\w)|(?<![\w.@＠+'’-])({_CAP}),\s[A-ZÀ-ÖØ-Þ]\.(?!\s?[A-ZÀ-ÖØ-Þ])")
+_GOES_ON = re.compile(rf"\s(?:[A-ZÀ-Þ]\.\s)?{_CAP}")
+_LETTERS = re.compile(r"(?<![^\W_])(?<![@＠.+_-])[^\W\d_]{2,}(?![\w@＠+]|[.-][^\W\d_])")
+_STATISTICS = "word string, surname string, turned int, n long, small long, capitals long"
+
+
+def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Numbers of texts, added up by batch: of words (in all, in small letters, in capitals), of capitalised pairs as
+    (given, surname, whether turned: 1, or 2 if another capitalised word follows), and of surnames with an initial (given
+    is null)."""
     for pdf in batches:
-        rows = set()
+        texts, small, capitals, pairs = Counter(), Counter(), Counter(), Counter()
         for text in pdf["text"]:
-            if not text:
-                continue
-            rows.update((m.group(1).lower(), m.group(2).lower(), 0) for m in _PAIR.finditer(text))
-            rows.update((m.group(2).lower(), m.group(1).lower(), 1) for m in _PAIR_TURNED.finditer(text))
-        yield pd.DataFrame(list(rows), columns=["given", "surname", "turned"])
+            forms = set(_LETTERS.findall(text))
+            low = {w for w in forms if w == w.lower()}
+            high = {w.lower() for w in forms - low}
+            texts.update(low | high)
+            small.update(low)
+            capitals.update(high)
+            found = {(m.group(1).lower(), m.group(2).lower(), 0) for m in _PAIR.finditer(text)}
+            found.update((m.group(2).lower(), m.group(1).lower(), 2 if _GOES_ON.match(text, m.end()) else 1) for m in _PAIR_TURNED.finditer(text))
+            found.update((None, (m.group(1) or m.group(2)).lower(), None) for m in _INITIAL_PAIR.finditer(text))
+            pairs.update(found)
+        rows = [(w, None, None, n, small[w], capitals[w]) for w, n in texts.items()] + [(*k, n, 0, 0) for k, n in pairs.items()]
+        yield pd.DataFrame(rows, columns=["word", "surname", "turned", "n", "small", "capitals"]).astype({"turned": "Int32"})
 
 
 def learned_names(docs: DataFrame, given_names: DataFrame) -> Names:
-    """Statistics over all documents: common words, and given names learned from pairs of capitalised words.
+    """Statistics over all different texts: common words, and given names learned from pairs of capitalised words.
 
-    A word is a given name if it never stands in small letters as often as in capitals, isn't common, stands
-    before LEARNED_PAIRS different uncommon surnames at least, and also after a surname and a comma.
+    A word is a given name if it never stands in small letters as often as in capitals, stands before
+    LEARNED_PAIRS different surnames at least, and also after a surname and a comma. A word is common
+    by COMMON_SHARE, SMALL_SHARE and NAMED_SHARE; copies of a text count once.
     """
-    texts = spread(docs.select("text").where("text is not null"))
-    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![\p{L}\d@＠.+_-])\p{L}{2,}(?![\p{L}\d@＠+_]|[.-]\p{L})"), F.lit(0))).alias("w"))
-    counts = words.groupBy(F.lower("w").alias("word")).agg(F.count("*").alias("n"), F.count_if(F.col("w") == F.lower("w")).alias("small"))
-    counts = cut(counts)  # one row per word, read three times
+    texts = spread(docs.select("text").where("text is not null")).distinct()
+    stats = cut(texts.mapInPandas(_statistics, _STATISTICS).groupBy("word", "surname", "turned").agg(*(F.sum(c).alias(c) for c in ("n", "small", "capitals"))))
+    counts = stats.where("surname is null").select("word", "n", "small", "capitals")
+    pairs = stats.where("surname is not null").select(F.col("word").alias("given"), "surname", "turned", "n")
     total = counts.agg(F.sum("n")).first()[0] or 0
     listed = {r[0].strip().lower() for r in given_names.select("given_name").where("given_name is not null").distinct().limit(200_000).toLocalIterator()}
     floor = max(8.0, COMMON_SHARE * total)
-    common = {r["word"] for r in counts.where(F.col("n") >= floor).select("word").toLocalIterator()}
-    pairs = texts.mapInPandas(_candidate_pairs, "given string, surname string, turned int")
-    many = pairs.groupBy("given").agg(F.count_distinct(F.when(F.col("turned") == 0, F.col("surname"))).alias("before"), F.count_distinct(F.when(F.col("turned") == 1, F.col("surname"))).alias("turned"), F.count("*").alias("n"))
+    many = pairs.where("given is not null").groupBy("given").agg(F.count_if(F.col("turned") == 0).alias("before"), F.count_if(F.col("turned") > 0).alias("turned"), F.count("*").alias("n"))
     many = cut(many)
     all_pairs = many.agg(F.sum("n")).first()[0] or 0
     enough = many.where((F.col("before") >= max(LEARNED_PAIRS, math.ceil(LEARNED_SHARE * all_pairs))) & (F.col("turned") >= 1))
     small = counts.where(F.col("small") > 0).select(F.col("word").alias("given"), "small")
     learned = {r["given"] for r in enough.join(small, "given", "left").where("small is null or small * 5 < before").select("given").toLocalIterator()}
     given = (listed | learned) - PLACES - TITLES - {""}
+    frequent = counts.where(F.col("n") >= floor)
+    common = {r["word"] for r in frequent.where(F.col("small") >= SMALL_SHARE * F.col("n")).select("word").toLocalIterator()}
+    known = docs.sparkSession.createDataFrame([(g,) for g in sorted(given)], "given string")
+    named = pairs.where("given is null").unionByName(pairs.where("turned < 2").join(known, "given", "left_semi")).groupBy(F.col("surname").alias("word")).agg(F.sum("n").alias("named"))
+    rest = frequent.where(F.col("small") < SMALL_SHARE * F.col("n")).join(named, "word", "left").where(F.coalesce("named", F.lit(0)) < NAMED_SHARE * F.col("capitals"))
+    common.update(r["word"] for r in rest.select("word").toLocalIterator())
     return Names(given, common - given)
 
 

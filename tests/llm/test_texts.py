@@ -145,3 +145,15 @@ def test_redaction_and_learning(spark):
     assert got == sorted([(k, "name", s) for k, n in enumerate(surnames) for s in (8, 20 + len(n))] + [(12, "email", 9), (12, "name", 22)])
     assert {r["doc_id"]: r["text"] for r in personal.redacted(docs, given).collect()}[12] == "Write to [EMAIL], [NAME]"
     assert personal.personal_items(docs.limit(0), given.limit(0)).count() == 0
+
+
+def test_frequent_surnames_are_names(spark):
+    given = spark.createDataFrame([("Corliss",)], "given_name string")
+    rows = [(k, f"Letter {k} of the harbour, Werkstatt und Hof. Signed, Corliss Merrickson and E. Melvimer") for k in range(40)]
+    rows += [(50 + k, f"Note {k}. Signed, {'BCDFG'[k % 5]}. Belhumon") for k in range(40)]
+    rows += [(100 + k, "A copied page. Signed, Corliss Yvenehal") for k in range(40)] + [(200, "Then Corliss Harbour and Corliss Werkstatt")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in personal.redacted(docs, given).collect()}
+    assert all(got[k].endswith("Signed, [NAME] and [NAME]") for k in range(40)) and all(got[100 + k].endswith("Signed, [NAME]") for k in range(40))
+    assert all(got[50 + k].endswith("Signed, [NAME]") for k in range(40))
+    assert got[200] == rows[-1][1]
