@@ -23,11 +23,6 @@ from foliospark.sources.tables import cut, message, spread
 THRESHOLD = 0.8
 LEAST_WORDS = 45
 BANDS, ROWS = 64, 5
-#: A word in more than this share of records counts less in the signature, in proportion.
-COMMON = 0.02
-#: Words that are common at most: the mean number of different words / COMMON. Far beyond what texts
-#: reach; words beyond it keep full weight, which costs time and no result.
-MOST_COMMON_WORDS = 500_000
 #: Of 128 sketch bits, as many agree at least; texts at the threshold agree in 107 on average, others in 66.
 BITS = 84
 #: Neighbours by which a record meets others that were checked with them.
@@ -51,30 +46,28 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def signatures(texts: list[np.ndarray], weight: dict[str, float], bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Band hashes (n x bands), two 64-bit sketches (n x 2) and elements of lists of words; no list may be empty.
+def signatures(texts: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Band hashes (n x bands), two 64-bit sketches (n x 2), marks (n x 4) and elements of lists of words; no list may be empty.
 
     An element is a number for the k-th occurrence of a word: two texts have as many in common as words,
     a repeated word counted as often as both have it.
 
     Each element falls into one of bands * rows bins; the bin keeps the element with the least
-    exponential score, whose rate is the word's weight. Empty bins borrow from bins that are drawn by
-    a hash of the bin until one isn't empty (optimal densification).
+    hash. All words count alike, as they do in the similarity: shared words of a template make its copies
+    alike, however many records hold them. Empty bins borrow from bins that are drawn by
+    a hash of the bin until one isn't empty (optimal densification). The marks are 256 bits, set by the elements.
     """
     bins, n = bands * rows, len(texts)
     record = np.repeat(np.arange(n), [len(t) for t in texts])
     codes, words = pd.factorize(np.concatenate(texts))
     hashed = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
-    rate = np.fromiter((weight.get(w, 1.0) for w in words), dtype=float, count=len(words))
     order = np.lexsort((codes, record))
     record, codes = record[order], codes[order]
     run = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (record[1:] != record[:-1])])
     nth = np.arange(len(codes)) - np.repeat(run, np.diff(np.r_[run, len(codes)]))
     element = _mix(hashed[codes] + nth.astype(np.uint64) * _MIX[2])
     slot = record * bins + (element % np.uint64(bins)).astype(np.int64)
-    uniform = ((_mix(element + _MIX[2]) >> np.uint64(11)).astype(float) + 1) / 2.0**53
-    score = -np.log(uniform) / rate[codes]
-    order = np.lexsort((score, slot))
+    order = np.lexsort((_mix(element + _MIX[2]), slot))
     first = order[np.r_[True, slot[order][1:] != slot[order][:-1]]]
     values = np.zeros(n * bins, dtype=np.uint64)
     full = np.zeros(n * bins, dtype=bool)
@@ -92,20 +85,20 @@ def signatures(texts: list[np.ndarray], weight: dict[str, float], bands: int = B
         out = _mix(out * _MIX[2] + dense[:, r::rows] + np.arange(bands, dtype=np.uint64) * _MIX[0])
     bits = (_mix(dense[:, :128] + _MIX[1]) & np.uint64(1)).astype(np.uint64)
     sketch = np.stack([(bits[:, k * 64 : k * 64 + 64] << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64) for k in (0, 1)], axis=1)
+    marked = np.zeros((n, 256), dtype=np.uint64)
+    marked[record, (_mix(element + _MIX[0]) & np.uint64(255)).astype(np.int64)] = 1
+    marks = np.stack([(marked[:, k : k + 64] << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64) for k in range(0, 256, 64)], axis=1)
     elements = np.split(element.view(np.int64), np.cumsum([len(t) for t in texts])[:-1])
-    return out.view(np.int64), sketch.view(np.int64), elements
+    return out.view(np.int64), sketch.view(np.int64), marks.view(np.int64), elements
 
 
-def _signer(weight: dict[str, float]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with np.errstate(over="ignore"):
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                bands, sketch, elements = signatures(list(pdf["words"]), weight)
-                yield pd.DataFrame({"rep": pdf["rep"], "bands": list(bands), "s1": sketch[:, 0], "s2": sketch[:, 1], "e": elements})
-
-    return run
+def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    with np.errstate(over="ignore"):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            bands, sketch, marks, elements = signatures(list(pdf["words"]))
+            yield pd.DataFrame({"rep": pdf["rep"], "bands": list(bands), "s1": sketch[:, 0], "s2": sketch[:, 1], "m": list(marks), "e": elements})
 
 
 class NearRecords:
@@ -128,19 +121,12 @@ class NearRecords:
         self.texts = kept.where("words is not null").dropDuplicates(["rep"]).select("rep", "words")
         self.links = self._links()
 
-    def _weights(self) -> dict[str, float]:
-        """Weights of common words: their number is at most the mean number of different words / COMMON."""
-        n = self.texts.count()
-        floor = max(1.0, COMMON * n)
-        counts = self.texts.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > floor)
-        return {r["word"]: floor / r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(MOST_COMMON_WORDS).toLocalIterator()}
-
     def _links(self) -> DataFrame:
         """``(a, b, similarity)``, a < b, of representatives that are similar enough."""
-        signed = cut(self.texts.mapInPandas(_signer(self._weights()), "rep long, bands array<long>, s1 long, s2 long, e array<long>"))
-        self._signed = signed.select("rep", "s1", "s2")
+        signed = cut(self.texts.mapInPandas(_signed, "rep long, bands array<long>, s1 long, s2 long, m array<long>, e array<long>"))
+        self._signed = signed.select("rep", "s1", "s2", F.size("e").alias("n"), "m")
         self._elements = signed.select("rep", "e")
-        links = cut(self._exact(self._met(signed.select("rep", "s1", "s2", F.explode("bands").alias("bucket")))))
+        links = cut(self._check(self._met(signed.select("rep", "s1", "s2", F.explode("bands").alias("bucket")))))
         tried = None
         while True:
             # a record's hubs are itself and the HUBS of its neighbours that come first by hash, so that
@@ -177,15 +163,17 @@ class NearRecords:
     def _agree() -> Column:
         return 128 - F.bit_count(F.col("s1").bitwiseXOR(F.col("t1"))) - F.bit_count(F.col("s2").bitwiseXOR(F.col("t2"))) >= BITS
 
+    def _may(self) -> Column:
+        """Whether marks allow the similarity: an element whose mark the other record lacks isn't in it."""
+        lacks = lambda x, y: sum(F.bit_count(F.col(x)[k].bitwiseAND(F.bitwise_not(F.col(y)[k]))) for k in range(4))
+        most = F.least(F.col("n") - lacks("m", "v"), F.col("k") - lacks("v", "m"))
+        return 2 * most >= self.threshold * (F.col("n") + F.col("k")) - 1e-6
+
     def _check(self, pairs: DataFrame) -> DataFrame:
-        """Exact similarity of pairs whose sketches agree enough."""
+        """Exact similarity of pairs whose sketches agree enough and whose marks allow it."""
         s = self._signed
-        return self._exact(
-            pairs.join(s.select(F.col("rep").alias("a"), "s1", "s2"), "a").join(s.select(F.col("rep").alias("b"), F.col("s1").alias("t1"), F.col("s2").alias("t2")), "b")
-            .where(self._agree()).select("a", "b")
-        )
-
-    def _exact(self, alike: DataFrame) -> DataFrame:
+        second = s.select(F.col("rep").alias("b"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("n").alias("k"), F.col("m").alias("v"))
+        alike = pairs.join(s.withColumnRenamed("rep", "a"), "a").join(second, "b").where(self._agree() & self._may()).select("a", "b")
         e = self._elements
         texts = alike.join(e.select(F.col("rep").alias("a"), F.col("e").alias("x")), "a").join(e.select(F.col("rep").alias("b"), F.col("e").alias("y")), "b")
         similarity = 2 * F.size(F.array_intersect("x", "y")) / (F.size("x") + F.size("y"))

@@ -160,6 +160,21 @@ def test_near_hot_group_of_edited_copies(spark, monkeypatch):
     assert len(want) > 10_000 and len(want) - len(got) <= len(want) / 1000
 
 
+@pytest.mark.parametrize("words", [1000, 3000])
+def test_near_long_records_of_a_hot_group(spark, words):
+    """Every third record is an edited copy of one long text: its shared words are common, the edits are rare."""
+    rng = np.random.default_rng(6)
+    n = 40
+    kept = rng.random((n, words)) >= 0.09 * np.linspace(0.8, 1.3, n)[:, None]
+    data = [(k, chat(" ".join(f"t{i}" if kept[k, i] else f"e{k}x{i}" for i in range(words)), "")) for k in range(n)]
+    data += [(n + k, chat(" ".join(f"o{k}x{i}" for i in range(60)), "")) for k in range(2 * n)]
+    common = kept.astype(int) @ kept.T
+    a, b = np.nonzero(np.triu(common / words >= 0.8, 1))
+    want = set(zip(a.tolist(), b.tolist()))
+    assert len(want) > 300
+    assert {tuple(r) for r in near.NearRecords(spark.createDataFrame(data, CHAT)).pairs().collect()} == want
+
+
 def test_near_nothing(spark):
     found = near.NearRecords(spark.createDataFrame([], CHAT))
     assert found.pairs().count() == 0 and found.groups().count() == 0
