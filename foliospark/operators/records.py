@@ -46,6 +46,19 @@ def local_records(pairs: DataFrame, profile: str = "") -> DataFrame:
     return pairs.select("artifact_id", "qa_index", chat_record(F.col("question"), F.col("answer"), metadata, profile).alias("r")).select("artifact_id", "qa_index", "r.*")
 
 
+def cross_records(items: DataFrame, profile: str = "") -> DataFrame:
+    """``pack_id, item_index, messages, metadata`` of items of several pages; the metadata are those of ``local_records``."""
+    none = F.lit("")
+    page = F.coalesce(F.try_element_at("source_pages", F.lit(1)), F.try_element_at("pack_pages", F.lit(1)), F.lit(1))
+    metadata = {
+        "source_book": F.col("source_book"), "source_page": page, "source_pages": F.when(F.size("source_pages") > 0, F.col("source_pages")).otherwise(F.array(page)),
+        "question_type": F.coalesce("question_type", none), "difficulty": F.coalesce("difficulty", none), "citation_quote": none,
+        "evidence_quotes": F.coalesce("evidence_quotes", F.array().cast("array<struct<page:int,quote:string>>")), "synthesis_type": F.coalesce("synthesis_type", none),
+        "record_level": F.lit("cross_page"), "pack_id": F.col("pack_id"), "run_id": F.col("run_id"),
+    }
+    return items.select("pack_id", "item_index", chat_record(F.col("question"), F.col("answer"), metadata, profile).alias("r")).select("pack_id", "item_index", "r.*")
+
+
 def _reasons(*tests: tuple[Column, str]) -> Column:
     return F.filter(F.array(*(F.when(test, reason) for test, reason in tests)), lambda r: r.isNotNull())
 

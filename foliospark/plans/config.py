@@ -52,6 +52,8 @@ class CrossPage:
     max_pages_per_pack: int = 3
     pack_overlap_window: int = 1
     use_local_qas_as_hints: bool = True
+    require_quote_match_if_text_available: bool = True
+    merge_into_final_dataset: bool = True
     min_cross_page_grounding_score: float = 0.6
     min_cross_page_usefulness_score: float = 0.55
     min_multi_page_score: float = 0.6

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 QA = "struct<question:string,answer:string,question_type:string,difficulty:string,citation_quote:string>"
+CROSS_QA = "struct<question:string,answer:string,question_type:string,difficulty:string,source_pages:array<int>,evidence_quotes:array<struct<page:int,quote:string>>,synthesis_type:string>"
+VERDICT = "struct<grounding_score:double,usefulness_score:double,multi_page_score:double,grounded:boolean,useful:boolean,truly_multi_page:boolean>"
 CALL_SCHEMA = "attempts array<struct<attempt:int,dpi:int,latency_ms:bigint,input_tokens:bigint,output_tokens:bigint>>, payload string, error string"
 
 
@@ -27,6 +29,10 @@ class OfflineProvider:
         self.per_page = per_page
 
     def call(self, request: dict) -> tuple[dict, int, int]:
+        if request.get("kind") == "critique":
+            return {"grounding_score": 1.0, "usefulness_score": 1.0, "multi_page_score": 1.0, "grounded": True, "useful": True, "truly_multi_page": True}, len(json.dumps(request)), 1
+        if request.get("kind") == "synthesis":
+            return self._across(request)
         text = (request.get("text") or "").strip()
         if len(text) <= 20:
             return {"page_status": "unreadable" if text else "blank", "page_status_reason": "too little text", "items": []}, len(text), 0
@@ -35,6 +41,17 @@ class OfflineProvider:
                   "question_type": "factual", "difficulty": "easy", "citation_quote": s} for s in sentences[: self.per_page]]
         return {"page_status": "usable", "page_status_reason": "", "items": items}, len(text), sum(len(i["answer"]) for i in items)
 
+    @staticmethod
+    def _across(request: dict) -> tuple[dict, int, int]:
+        """An item that quotes the first sentences of the pack's first two pages that have text."""
+        quotes = [{"page": p["page"], "quote": p["text"].split(".")[0].strip()} for p in request["page_texts"] if (p["text"] or "").split(".")[0].strip()][:2]
+        if len(quotes) < 2:
+            return {"pack_status": "insufficient_evidence", "pack_status_reason": "", "items": []}, len(json.dumps(request)), 0
+        first, second = (q["quote"] for q in quotes)
+        item = {"question": f"How does '{' '.join(first.split()[:6])}' go with '{' '.join(second.split()[:6])}'?", "answer": f"One page says: {first}. Another page says: {second}.", "question_type": "synthesis", "difficulty": "medium",
+                "source_pages": [q["page"] for q in quotes], "evidence_quotes": quotes, "synthesis_type": "cross_page_multi_hop"}
+        return {"pack_status": "usable", "pack_status_reason": "", "items": [item]}, len(json.dumps(request)), len(item["answer"])
+
 
 def called(requests: DataFrame, provider: Callable[[], Provider], request_column: str = "request", retries: int = 1, dpis: tuple[int, int] = (150, 220), pause: float = 0.0) -> DataFrame:
     """Adds attempts, payload and error to requests (JSON strings in ``request_column``).

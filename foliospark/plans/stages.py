@@ -1,19 +1,20 @@
-"""The two stages of a run, as plans: pages to records, and packs of pages to requests."""
+"""The two stages of a run, as plans: pages to artifacts with accepted pairs, and packs of pages to records."""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.functions.text import signature
+from foliospark.functions.text import signature, strip
 from foliospark.operators import dedup, packs, pages, records
 from foliospark.plans.config import Settings
-from foliospark.plans.providers import QA, Provider, called
+from foliospark.plans.providers import CROSS_QA, QA, VERDICT, Provider, called
 from foliospark.sources.tables import cut
 
+SYNTHESIS = f"struct<pack_status:string,pack_status_reason:string,items:array<{CROSS_QA}>>"
 PAYLOAD = f"struct<page_status:string,page_status_reason:string,items:array<{QA}>>"
 
 
@@ -34,16 +35,27 @@ def generate(todo: DataFrame, provider: Callable[[], Provider], s: Settings) ->
                          F.coalesce("p.items", F.array().cast(f"array<{QA}>")).alias("items"), "attempts", "error")
 
 
+def critiqued(items: DataFrame, provider: Callable[[], Provider], request: Column) -> DataFrame:
+    """Adds verdict (scores, flags and error) and critique_attempts to items; one call each."""
+    asked = cut(called(items.withColumn("request", request), provider, retries=0)).withColumn("v", F.from_json("payload", VERDICT))
+    verdict = F.struct("v.grounding_score", "v.usefulness_score", "v.multi_page_score", "v.grounded", "v.useful", "v.truly_multi_page", "error")
+    return asked.withColumn("verdict", verdict).withColumnRenamed("attempts", "critique_attempts").drop("request", "payload", "error", "v")
+
+
 def stage_one(book_pages: DataFrame, done: DataFrame, provider: Callable[[], Provider], s: Settings, run_id: str) -> tuple[DataFrame, DataFrame]:
     """``artifacts`` and ``decisions`` of the pages that aren't done yet.
 
     book_pages: source_book, source_page, page_text; done: source_book, source_page. Pages beyond the cap and done ones are left
-    out before any call. A decision per generated pair: duplicate, accepted, reasons, scores.
+    out before any call. A decision per generated pair: duplicate, accepted, reasons, scores; with use_model_self_critique
+    each pair is judged by a call first, duplicates too.
     """
     todo = pages.not_done(pages.capped(book_pages, s.runtime.max_pages_per_book), done).withColumn("run_id", F.lit(run_id))
     made = cut(generate(todo, provider, s))
     pairs = made.where(~pages.is_unusable(F.col("page_status"))).select("run_id", "source_book", "source_page", "page_text", F.posexplode("items").alias("qa_index", "qa")).select(
         "run_id", "source_book", "source_page", "page_text", "qa_index", "qa.*")
+    if s.quality.enabled and s.quality.use_model_self_critique:
+        item = F.struct("question", "answer", "question_type", "difficulty", "citation_quote")
+        pairs = critiqued(pairs, provider, F.to_json(F.struct(F.lit("critique").alias("kind"), F.col("page_text").alias("text"), item.alias("item"))))
     limits = records.Limits(s.quality.min_grounding_score, s.quality.min_usefulness_score, s.quality.enabled and s.quality.require_citation_match_if_text_available)
     judged = records.gated(pairs, limits).withColumn("passes", F.col("accepted")).withColumn("signature", signature(F.col("question"), F.col("answer")))
     decided = cut(dedup.greedy_duplicates(judged, ["source_book", "source_page", "qa_index"], ["source_book", "source_page"], s.quality.duplicate_similarity_threshold))
@@ -60,4 +72,42 @@ def stage_two(artifacts: DataFrame, done_packs: DataFrame, s: Settings) -> DataF
     todo = pages.not_done(made, done_packs, ("pack_id",))
     hints = F.slice("accepted_local_qas", 1, 8) if s.cross_page.use_local_qas_as_hints else F.slice("accepted_local_qas", 1, 0)
     texts = F.transform("page_texts", lambda p: F.struct(p["page"].alias("page"), F.substring(p["text"], 1, 4000).alias("text")))
-    return todo.withColumn("request", F.to_json(F.struct("pack_id", "source_pages", "shared_terms", "heading_candidates", texts.alias("page_texts"), hints.alias("hints"))))
+    return todo.withColumn("request", F.to_json(F.struct(F.lit("synthesis").alias("kind"), "pack_id", "source_pages", "shared_terms", "heading_candidates", texts.alias("page_texts"), hints.alias("hints"))))
+
+
+def stage_two_records(artifacts: DataFrame, done_packs: DataFrame, earlier: DataFrame, provider: Callable[[], Provider], s: Settings, run_id: str) -> tuple[DataFrame, DataFrame]:
+    """``records`` across pages and ``decisions`` of the packs that aren't done yet.
+
+    earlier: signature of pairs across pages accepted before. A pack that isn't usable has one decision without a question. An
+    item that repeats an accepted pair of a page, an earlier one or an item before it is a duplicate; others are gated by quotes and
+    a critique.
+    """
+    packed = cut(stage_two(artifacts, done_packs, s)).select("source_book", "pack_id", F.col("source_pages").alias("pack_pages"), "page_texts", "request")
+    made = cut(called(packed.select("pack_id", "request"), provider, retries=0)).withColumn("p", F.from_json("payload", SYNTHESIS))
+    status = F.when(F.col("error").isNotNull(), "call_failed").otherwise(F.coalesce("p.pack_status", F.lit("insufficient_evidence")))
+    answered = cut(packed.drop("request").join(made.select("pack_id", status.alias("status"), F.col("p.pack_status_reason").alias("why"), "p.items"), "pack_id").withColumn("run_id", F.lit(run_id)))
+    keys = ["run_id", "source_book", "pack_id"]
+    why = F.when(F.coalesce("why", F.lit("")) != "", F.col("why")).otherwise(F.concat(F.lit("pack_status_"), F.col("status")))
+    refused = answered.where("status != 'usable'").select(*keys, F.array(why).alias("reasons"), F.lit(False).alias("accepted"))
+    items = answered.where("status = 'usable'").select(*keys, "pack_pages", "page_texts", F.posexplode("items").alias("item_index", "i")).select(*keys, "pack_pages", "page_texts", "item_index", "i.*")
+    items = items.withColumns({"question": F.coalesce(strip(F.col("question")), F.lit("")), "answer": F.coalesce(strip(F.col("answer")), F.lit(""))})
+    told = F.struct("question", "answer", "question_type", "difficulty", "source_pages", "evidence_quotes", "synthesis_type")
+    texts = F.transform("page_texts", lambda p: F.struct(p["page"].alias("page"), F.substring(p["text"], 1, 2000).alias("text")))
+    request = F.to_json(F.struct(F.lit("critique").alias("kind"), texts.alias("page_texts"), told.alias("item")))
+    judged = critiqued(items.select("pack_id", "item_index", request.alias("r")), provider, F.col("r")).drop("r")
+    found = packs.quotes_match(F.col("evidence_quotes"), F.col("page_texts")) if s.cross_page.require_quote_match_if_text_available else F.lit(True)
+    c = s.cross_page
+    gated = records.cross_gated(items.join(judged, ["pack_id", "item_index"]).withColumn("quotes_found", found), c.min_cross_page_grounding_score, c.min_cross_page_usefulness_score, c.min_multi_page_score)
+    fresh = gated.withColumns({"level": F.lit(1), "passes": F.col("accepted"), "signature": signature(F.col("question"), F.col("answer")), "unit": F.concat_ws("#", "pack_id", "item_index")})
+    local = artifacts.select(F.explode("accepted_qas").alias("qa")).select(signature(F.col("qa.question"), F.col("qa.answer")).alias("signature"))
+    # what was accepted before is one unit, so that all of it stays
+    before = local.unionByName(earlier.select("signature")).distinct().select("signature", F.lit(0).alias("level"), F.lit(True).alias("passes"), F.lit("").alias("unit"))
+    decided = cut(dedup.greedy_duplicates(fresh.unionByName(before, allowMissingColumns=True), ["level", "source_book", "pack_pages", "item_index", "signature"], ["unit"], s.quality.duplicate_similarity_threshold)).where("level = 1")
+    decided = decided.withColumn("reasons", F.when(F.col("duplicate"), F.array(F.lit("duplicate_or_near_duplicate"))).otherwise(F.col("reasons"))).withColumn("accepted", F.col("kept"))
+    return records.cross_records(decided.where("kept"), s.dataset.user_profile), decided.drop("level", "passes", "unit").unionByName(refused, allowMissingColumns=True)
+
+
+def sinks(local: DataFrame, across: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """What goes to the final dataset and to the one across pages: (messages, metadata)."""
+    local, across = local.select("messages", "metadata"), across.select("messages", "metadata")
+    return (local.unionByName(across) if s.cross_page.merge_into_final_dataset else local), across

@@ -8,7 +8,7 @@ from foliospark.functions.text import signature
 from foliospark.operators import dedup, metrics, packs, pages, records
 from foliospark.plans.config import settings
 from foliospark.plans.providers import OfflineProvider
-from foliospark.plans.stages import page_prompt, stage_one, stage_two
+from foliospark.plans.stages import page_prompt, sinks, stage_one, stage_two, stage_two_records
 from foliospark.sources.books import list_books, read_pages, read_text_pages
 from foliospark.sources.jsonl import append_or_set_aside, read_json, read_jsonl, write_json
 from foliospark.streaming.incremental import artifacts_of_arrivals, calls_per_window
@@ -170,6 +170,38 @@ def test_books_stages_and_resume(spark, tmp_path):
     assert again.count() == 0
 
 
+def test_both_stages_to_records(spark):
+    class Strict(OfflineProvider):
+        """Rejects what the page says about lamps, and finds no answer useful across pages."""
+
+        def call(self, request):
+            if request.get("kind") == "critique":
+                grounded = "lighthouse" not in request["item"]["question"]
+                useful = "page_texts" not in request
+                return {"grounding_score": 0.9, "usefulness_score": 0.9, "multi_page_score": 0.9, "grounded": grounded, "useful": useful, "truly_multi_page": True}, 1, 1
+            return super().call(request)
+
+    one = "The water cycle moves heat from the sea into the air every single day. Rain returns the water to the rivers and lakes below the hills again."
+    two = "A lighthouse keeper trims the lamp before the fog arrives over the harbour wall. The bell rings twice when boats pass the outer sandbank at night."
+    book = spark.createDataFrame([("b", 1, one), ("b", 2, two)], "source_book string, source_page int, page_text string")
+    none = [spark.createDataFrame([], x) for x in ("source_book string, source_page int", "pack_id string", "signature string")]
+    s = settings({"input": {"books_dir": "x"}, "runtime": {"model": "m"}, "dataset": {"output_path": "o"}})
+    artifacts, _ = stage_one(book, none[0], OfflineProvider, s, "r")
+    made, decided = stage_two_records(artifacts, none[1], none[2], OfflineProvider, s, "r")
+    r = made.collect()
+    assert len(r) == 1 and r[0]["pack_id"] == "b::1-2" and r[0]["metadata"]["record_level"] == "cross_page" and r[0]["metadata"]["source_pages"] == [1, 2] and len(r[0]["metadata"]["evidence_quotes"]) == 2
+    local = records.local_records(records.page_pairs(artifacts.withColumn("artifact_id", F.lit(1))))
+    final, across = sinks(local, made, s)
+    assert final.count() == local.count() + 1 == 5 and across.count() == 1
+    again, seen = stage_two_records(artifacts, none[1], decided.where("accepted").select("signature"), OfflineProvider, s, "r2")
+    assert again.count() == 0 and [x["reasons"] for x in seen.collect()] == [["duplicate_or_near_duplicate"]]
+    assert [x["accepted"] for x in stage_two_records(artifacts, decided.select("pack_id"), none[2], OfflineProvider, s, "r3")[1].collect()] == []
+    strict, judged = stage_one(book, none[0], Strict, s, "r")
+    assert [x["reasons"] for x in judged.where("not accepted").collect()] == [["model_marked_not_grounded"]]
+    made, decided = stage_two_records(strict, none[1], none[2], Strict, s, "r")
+    assert made.count() == 0 and [x["reasons"] for x in decided.collect()] == [["model_marked_not_grounded", "model_marked_not_useful"]]
+
+
 def test_streaming(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.json").write_text('{"run_id":"r","source_book":"b","source_page":1,"page_status":"usable","page_text":"Alpha beta alpha"}\n')
