@@ -10,7 +10,6 @@ many different surnames.
 from __future__ import annotations
 
 import bisect
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -31,9 +30,9 @@ COMMON_SHARE = 2e-5
 #: Such a word is common if it stands in small letters in this share of its texts, or else if it stands as a surname, with a
 #: given name or an initial, in less than NAMED_SHARE of the texts that have it in capitals.
 SMALL_SHARE, NAMED_SHARE = 0.1, 0.1
-#: A given name is learned if it stands with so many different surnames at least, and with this share of all
-#: such pairs, which bounds the learned names to 200,000.
-LEARNED_PAIRS, LEARNED_SHARE = 3, 5e-6
+#: A given name is learned if it stands with so many different surnames at least, however large the collection, and if a
+#: capitalised word follows it in this share of the texts that have it in capitals, or with a comma stands before it.
+LEARNED_PAIRS, LEARNED_SHARE = 3, 0.2
 
 #: Signs of mail addresses, as they are typed or spelt out.
 AT = r"(?:\s?[@＠]\s?|\s?[\[({<]\s?(?:at|arroba|arobase|ät|a)\s?[\])}>]\s?|\s(?:at|arroba|arobase|AT|ät)\s)"
@@ -376,8 +375,9 @@ def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def learned_names(docs: DataFrame, given_names: DataFrame) -> Names:
     """Statistics over all different texts: common words, and given names learned from pairs of capitalised words.
 
-    A word is a given name if it never stands in small letters as often as in capitals, stands before
-    LEARNED_PAIRS different surnames at least, and also after a surname and a comma. A word is common
+    A word is a given name if it stands before LEARNED_PAIRS different surnames at least and also after a surname and a
+    comma, and if its texts with such pairs are LEARNED_SHARE of those with it in capitals and over five times those
+    with it in small letters. No bound grows with the collection. A word is common
     by COMMON_SHARE, SMALL_SHARE and NAMED_SHARE; copies of a text count once.
     """
     texts = spread(docs.select("text").where("text is not null")).distinct()
@@ -385,14 +385,13 @@ def learned_names(docs: DataFrame, given_names: DataFrame) -> Names:
     counts = stats.where("surname is null").select("word", "n", "small", "capitals")
     pairs = stats.where("surname is not null").select(F.col("word").alias("given"), "surname", "turned", "n")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    listed = {r[0].strip().lower() for r in given_names.select("given_name").where("given_name is not null").distinct().limit(200_000).toLocalIterator()}
+    listed = {r[0].strip().lower() for r in given_names.select("given_name").where("given_name is not null").distinct().toLocalIterator()}
     floor = max(8.0, COMMON_SHARE * total)
-    many = pairs.where("given is not null").groupBy("given").agg(F.count_if(F.col("turned") == 0).alias("before"), F.count_if(F.col("turned") > 0).alias("turned"), F.count("*").alias("n"))
-    many = cut(many)
-    all_pairs = many.agg(F.sum("n")).first()[0] or 0
-    enough = many.where((F.col("before") >= max(LEARNED_PAIRS, math.ceil(LEARNED_SHARE * all_pairs))) & (F.col("turned") >= 1))
-    small = counts.where(F.col("small") > 0).select(F.col("word").alias("given"), "small")
-    learned = {r["given"] for r in enough.join(small, "given", "left").where("small is null or small * 5 < before").select("given").toLocalIterator()}
+    many = pairs.where("given is not null").groupBy("given").agg(F.count_if(F.col("turned") == 0).alias("before"), F.count_if(F.col("turned") > 0).alias("turned"), F.sum("n").alias("used"))
+    enough = many.where((F.col("before") >= LEARNED_PAIRS) & (F.col("turned") >= 1))
+    uses = counts.select(F.col("word").alias("given"), "small", "capitals")
+    other = F.coalesce("small", F.lit(0)) * 5 < F.col("used")
+    learned = {r["given"] for r in enough.join(uses, "given", "left").where(other & (F.col("used") >= LEARNED_SHARE * F.coalesce("capitals", F.lit(0)))).select("given").toLocalIterator()}
     given = (listed | learned) - PLACES - TITLES - {""}
     frequent = counts.where(F.col("n") >= floor)
     common = {r["word"] for r in frequent.where(F.col("small") >= SMALL_SHARE * F.col("n")).select("word").toLocalIterator()}

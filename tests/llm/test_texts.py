@@ -157,3 +157,15 @@ def test_frequent_surnames_are_names(spark):
     assert all(got[k].endswith("Signed, [NAME] and [NAME]") for k in range(40)) and all(got[100 + k].endswith("Signed, [NAME]") for k in range(40))
     assert all(got[50 + k].endswith("Signed, [NAME]") for k in range(40))
     assert got[200] == rows[-1][1]
+
+
+def test_given_names_are_learned_in_large_collections(spark):
+    """Three surnames are enough, though there are 800,000 other pairs; a word with other uses isn't learned."""
+    letters = "abcdefghijklmnopqrst"
+    word = lambda k: "".join(letters[k // 20**i % 20] for i in range(5)).capitalize()
+    rows = [(k, ". ".join(f"Q{word(k * 800 + j).lower()} Z{word(k * 800 + j).lower()}" for j in range(800))) for k in range(1000)]
+    surnames = ["Belhumon", "Cornevak", "Drosatel"]
+    rows += [(2000 + k, f"Signed, Ardith {n} and {n}, Ardith. See Trelland {n}; {n}, Trelland.") for k, n in enumerate(surnames)]
+    rows += [(3000 + k, f"Then Trelland. Page {k}") for k in range(60)]
+    names = personal.learned_names(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([], "given_name string"))
+    assert names.given == {"ardith"}
