@@ -122,14 +122,16 @@ def _anchors() -> ahocorasick.Automaton:
 
 
 class Names:
-    """Given names (in lower case) and words that are too common for a surname."""
+    """Given names (in lower case), words that are too common for a surname, and those of the given names that were listed."""
 
-    def __init__(self, given: set[str], common: set[str]):
-        self.given, self.common = given, common
+    def __init__(self, given: set[str], common: set[str], listed: set[str] = frozenset()):
+        self.given, self.common, self.listed = given, common, listed
 
-    def surname(self, word: str) -> bool:
+    def surname(self, word: str, given: str | None = None) -> bool:
+        """Whether the word can be a surname; one of two or three letters can with a listed given name."""
         parts = word.split("-")
-        return all(len(p) >= 4 or len(parts) > 1 and len(p) >= 3 for p in parts) and not any(p.lower() in self.common or p.lower() in PLACES or p.lower() in TITLES for p in parts)
+        least = 2 if given and given.lower() in self.listed else 3 if len(parts) > 1 else 4
+        return all(len(p) >= least for p in parts) and not any(p.lower() in self.common or p.lower() in PLACES or p.lower() in TITLES for p in parts)
 
     def first(self, word: str) -> bool:
         return word.lower() in self.given
@@ -149,7 +151,7 @@ class Names:
 
     def _straight(self, text: str, at: int) -> tuple[int, int] | None:
         m = _NAME.match(text, at)
-        if not m or not self.surname(m["s1"] or m["s2"]):
+        if not m or not self.surname(m["s1"] or m["s2"], m["g1"]):
             return None
         if m["g1"] and (not self.first(m["g1"]) or m["g1"].isupper() != m["s1"].isupper()):
             return None
@@ -163,14 +165,14 @@ class Names:
         while begin > 0 and (text[begin - 1].isalpha() or text[begin - 1] in "-'’"):
             begin -= 1
         m = _TURNED.match(text, begin)
-        if not m or m.end() <= at or not self.surname(m["s"]) or self.first(m["s"]) or (m["g"] and (not self.first(m["g"]) or self._goes_on(text, at))):
+        if not m or m.end() <= at or not self.surname(m["s"], m["g"]) or self.first(m["s"]) or (m["g"] and (not self.first(m["g"]) or self._goes_on(text, at))):
             return None
         return m.span()
 
     def _goes_on(self, text: str, at: int) -> bool:
         """Whether the given name after a comma has its surname after it, so that the word before isn't one."""
         m = _NAME.match(text, at)
-        return bool(m and m["s1"] and self.surname(m["s1"]) and not self.first(m["s1"]))
+        return bool(m and m["s1"] and self.surname(m["s1"], m["g1"]) and not self.first(m["s1"]))
 
     @staticmethod
     def _placed(text: str, start: int, end: int) -> bool:
@@ -399,7 +401,7 @@ def learned_names(docs: DataFrame, given_names: DataFrame) -> Names:
     named = pairs.where("given is null").unionByName(pairs.where("turned < 2").join(known, "given", "left_semi")).groupBy(F.col("surname").alias("word")).agg(F.sum("n").alias("named"))
     rest = frequent.where(F.col("small") < SMALL_SHARE * F.col("n")).join(named, "word", "left").where(F.coalesce("named", F.lit(0)) < NAMED_SHARE * F.col("capitals"))
     common.update(r["word"] for r in rest.select("word").toLocalIterator())
-    return Names(given, common - given)
+    return Names(given, common - given, listed & given)
 
 
 def personal_items(docs: DataFrame, given_names: DataFrame) -> DataFrame:

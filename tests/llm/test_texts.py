@@ -169,3 +169,10 @@ def test_given_names_are_learned_in_large_collections(spark):
     rows += [(3000 + k, f"Then Trelland. Page {k}") for k in range(60)]
     names = personal.learned_names(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([], "given_name string"))
     assert names.given == {"ardith"}
+
+
+def test_short_surnames_after_listed_given_names():
+    names = personal.Names({"ann", "ardith"}, {"the"}, {"ann"})
+    read = lambda text: [text[a:b] for _, a, b in personal.find_items(text, names)]
+    assert read("Ann Lee met Lee, Ann. Then Ann The, and Ardith Lee.") == ["Ann Lee", "Lee, Ann"]
+    assert read("Signed, Ann Wu-Li") == ["Ann Wu-Li"]
