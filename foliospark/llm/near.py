@@ -1,20 +1,24 @@
 """Records that repeat each other with small changes.
 
-One-permutation hashing with optimal densification makes a signature of each distinct record, bands
-of it are buckets, and all members of a bucket are compared with each other, large buckets in salted
-blocks: by their sketches, then exactly. So a bucket of m members costs m * m / 2 comparisons of sketches.
-Similar records that share no bucket may still meet: records that have one of their first HUBS
-neighbours, or themselves as neighbours, in common are compared until nothing new is found.
+One-permutation hashing with optimal densification makes a signature of each record, and bands of it are
+buckets. Records that share a bucket are compared by sketches where the bucket lies, in memory: only pairs that may be
+similar leave the task, and these are checked exactly. Edges to one centre of a bucket (a star) would bound
+the comparisons, but lose the links of copies that resemble each other or their origin, not the centre.
+
+Buckets are dealt out by ranges of (bucket, record), so one that holds a third of all rows is spread
+over many tasks; what crosses a range, or is larger than BLOCK, is compared in blocks of two times BLOCK
+records at most.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.graph import components
@@ -22,19 +26,29 @@ from foliospark.sources.tables import cut, message, spread
 
 THRESHOLD = 0.8
 LEAST_WORDS = 45
-BANDS, ROWS = 64, 5
-#: Of 128 sketch bits, as many agree at least; texts at the threshold agree in 107 on average, others in 66.
-BITS = 84
-#: Neighbours by which a record meets others that were checked with them.
-HUBS = 4
-SALTS = 8
-#: Members of one side of a block of comparisons.
-BLOCK = 1000
+#: Buckets that two records at the threshold share on average: none with a probability of exp(-MEETINGS), which is 1 in 2,700.
+MEETINGS = 7.9
+#: Rows of a band: such that of records with a share of CHANCE of their words in common at most CHANCE_MEMBERS meet in a bucket.
+CHANCE, CHANCE_MEMBERS, LEAST_ROWS = 0.2, 200, 4
+#: Records of one side of a block of comparisons.
+BLOCK = 2000
+#: A sketch has BITS bits for records of up to WORDS words, twice as many for up to twice as many words, and so on, at most LEVELS times.
+BITS, WORDS, LEVELS = 256, 100, 5
+#: Values (words and bins) of records that are signed at a time.
+AT_ONCE = 3_000_000
 _BLANK = r"(?U)[\s\x1c-\x1f]+"
 _MIX = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)]
 
 
-def record_words(records: DataFrame, messages: str = "messages") -> Column:
+def band_shape(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
+    """``(bands, rows)`` for n records: rows grow with the logarithm of n, and bands with them, so that similar records meet
+    as surely in any collection, and unlike ones no more often."""
+    jaccard = threshold / (2 - threshold)
+    rows = max(LEAST_ROWS, math.ceil(math.log(max(n, 1) / CHANCE_MEMBERS) / math.log(1 / CHANCE)))
+    return math.ceil(MEETINGS / jaccard**rows), rows
+
+
+def record_words(messages: str = "messages") -> Column:
     """Words of a record: user content, a space, assistant content, lower-cased, split at white space."""
     text = F.concat_ws(" ", F.coalesce(message("user", messages), F.lit("")), F.coalesce(message("assistant", messages), F.lit("")))
     return F.filter(F.split(F.lower(text), _BLANK), lambda w: w != "")
@@ -46,32 +60,26 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def signatures(texts: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Band hashes (n x bands), two 64-bit sketches (n x 2), marks (n x 4) and elements of lists of words; no list may be empty.
+def elements(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for the k-th occurrence of each (hashed) word in its record, and the record, in order of records: two
+    records have as many numbers in common as words, a repeated word counted as often as both have it."""
+    order = np.lexsort((words, owner))
+    words, owner = words[order], owner[order]
+    run = np.flatnonzero(np.r_[True, (words[1:] != words[:-1]) | (owner[1:] != owner[:-1])])
+    nth = np.arange(len(words)) - np.repeat(run, np.diff(np.r_[run, len(words)]))
+    return _mix(words + nth.astype(np.uint64) * _MIX[2]), owner
 
-    An element is a number for the k-th occurrence of a word: two texts have as many in common as words,
-    a repeated word counted as often as both have it.
 
-    Each element falls into one of bands * rows bins; the bin keeps the element with the least
-    hash. All words count alike, as they do in the similarity: shared words of a template make its copies
-    alike, however many records hold them. Empty bins borrow from bins that are drawn by
-    a hash of the bin until one isn't empty (optimal densification). The marks are 256 bits, set by the elements.
-    """
-    bins, n = bands * rows, len(texts)
-    record = np.repeat(np.arange(n), [len(t) for t in texts])
-    codes, words = pd.factorize(np.concatenate(texts))
-    hashed = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
-    order = np.lexsort((codes, record))
-    record, codes = record[order], codes[order]
-    run = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (record[1:] != record[:-1])])
-    nth = np.arange(len(codes)) - np.repeat(run, np.diff(np.r_[run, len(codes)]))
-    element = _mix(hashed[codes] + nth.astype(np.uint64) * _MIX[2])
-    slot = record * bins + (element % np.uint64(bins)).astype(np.int64)
-    order = np.lexsort((_mix(element + _MIX[2]), slot))
-    first = order[np.r_[True, slot[order][1:] != slot[order][:-1]]]
-    values = np.zeros(n * bins, dtype=np.uint64)
-    full = np.zeros(n * bins, dtype=bool)
-    values[slot[first]], full[slot[first]] = element[first], True
+def binned(element: np.ndarray, owner: np.ndarray, n: int, bins: int) -> np.ndarray:
+    """Signatures (n x bins). Each element falls into a bin, and a bin keeps its least hash. Empty bins borrow from
+    bins that are drawn by a hash of the bin until one isn't empty (optimal densification). No record may be empty."""
+    slot = owner * bins + (element % np.uint64(bins)).astype(np.int64)
+    order = np.argsort(slot, kind="stable")
+    slot = slot[order]
+    first = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
+    values, full = np.zeros(n * bins, dtype=np.uint64), np.zeros(n * bins, dtype=bool)
+    values[slot[first]] = np.minimum.reduceat(_mix(element + _MIX[2])[order], first)
+    full[slot[first]] = True
     values, full = values.reshape(n, bins), full.reshape(n, bins)
     dense, todo, tries = values.copy(), ~full, 0
     while todo.any():
@@ -80,104 +88,295 @@ def signatures(texts: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) ->
         found = todo & full[:, source]
         dense = np.where(found, values[:, source], dense)
         todo &= ~found
-    out = np.zeros((n, bands), dtype=np.uint64)
+    return dense
+
+
+def banded(dense: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """Buckets (n x bands) of signatures."""
+    out = np.zeros((len(dense), bands), dtype=np.uint64)
     for r in range(rows):
         out = _mix(out * _MIX[2] + dense[:, r::rows] + np.arange(bands, dtype=np.uint64) * _MIX[0])
-    bits = (_mix(dense[:, :128] + _MIX[1]) & np.uint64(1)).astype(np.uint64)
-    sketch = np.stack([(bits[:, k * 64 : k * 64 + 64] << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64) for k in (0, 1)], axis=1)
-    marked = np.zeros((n, 256), dtype=np.uint64)
-    marked[record, (_mix(element + _MIX[0]) & np.uint64(255)).astype(np.int64)] = 1
-    marks = np.stack([(marked[:, k : k + 64] << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64) for k in range(0, 256, 64)], axis=1)
-    elements = np.split(element.view(np.int64), np.cumsum([len(t) for t in texts])[:-1])
-    return out.view(np.int64), sketch.view(np.int64), marks.view(np.int64), elements
+    return out
+
+
+def levels(n: np.ndarray) -> np.ndarray:
+    """How many times the sketch of a record of n words is doubled."""
+    return np.clip(np.ceil(np.log2(np.maximum(n, 1) / WORDS)), 0, LEVELS).astype(np.int64)
+
+
+def sketches(element: np.ndarray, owner: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches end to end as numbers of 64 bits, and where each begins. A bit is turned over by each element that falls on it, so two
+    records differ in no more bits than there are elements that only one of them has. The halves of a sketch, laid over each
+    other, are the sketch of half as many bits."""
+    bits = BITS << level
+    at = np.r_[0, np.cumsum(bits)]
+    hits = np.bincount(at[owner] + (_mix(element + _MIX[0]) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64), minlength=at[-1])
+    return np.packbits((hits & 1).astype(np.uint8), bitorder="little").view(np.uint64), at // 64
+
+
+def _chunks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    ends, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + AT_ONCE)))
+        yield a, b
+        a = b
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of lists (without nulls) end to end, and the lists' lengths."""
+    return lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.diff(lists.offsets.to_numpy())
+
+
+_SIGNED = "record_id long, k1 long, k2 long, n int, sketch binary, bands array<long>"
+
+
+def _sign(bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per record: a fingerprint of its words in any order (k1, k2), their number, sketches and buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                words, sizes = _flat(batch["words"])
+                starts = np.r_[0, np.cumsum(sizes)]
+                for a, b in _chunks(sizes + bands * rows):
+                    n = b - a
+                    element, owner = elements(words[starts[a] : starts[b]], np.repeat(np.arange(n), sizes[a:b]))
+                    first = starts[a:b] - starts[a]
+                    dense = binned(element, owner, n, bands * rows)
+                    sketch, at = sketches(element, owner, levels(sizes[a:b]))
+                    yield pa.RecordBatch.from_pydict({
+                        "record_id": batch["record_id"].slice(a, n),
+                        "k1": pa.array(np.add.reduceat(_mix(element ^ _MIX[0]), first).view(np.int64)),
+                        "k2": pa.array(np.add.reduceat(_mix(element ^ _MIX[1]), first).view(np.int64)),
+                        "n": pa.array(sizes[a:b].astype(np.int32)),
+                        "sketch": pa.array([sketch[x:y].tobytes() for x, y in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary()),
+                        "bands": pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(banded(dense, bands, rows).view(np.int64).ravel())),
+                    })
+
+    return run
+
+
+class _Side:
+    """Records as they are compared: bucket, rec, number of words and sketch (end to end, beginning at ``at``)."""
+
+    def __init__(self, bucket: np.ndarray, rec: np.ndarray, n: np.ndarray, sketch: list[bytes]):
+        self.bucket, self.rec, self.n, self.sketch = bucket, rec, n.astype(np.int64), sketch
+        self._at_level: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.level = levels(self.n)
+
+    @staticmethod
+    def of_batch(batch: pa.RecordBatch) -> "_Side":
+        return _Side(*(batch[c].to_numpy(zero_copy_only=False) for c in ("bucket", "rec", "n")), batch["sketch"].to_pylist())
+
+    def __getitem__(self, k: np.ndarray) -> "_Side":
+        return _Side(self.bucket[k], self.rec[k], self.n[k], [self.sketch[i] for i in np.arange(len(self))[k].tolist()])
+
+    def __len__(self) -> int:
+        return len(self.rec)
+
+    def with_more(self, other: "_Side") -> "_Side":
+        return _Side(*(np.concatenate([x, y]) for x, y in ((self.bucket, other.bucket), (self.rec, other.rec), (self.n, other.n))), self.sketch + other.sketch)
+
+    def at_level(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sketches of BITS << level bits, a column for each 64 bits, and the column of each record; records of lower levels have none."""
+        if level not in self._at_level:
+            width, place, parts, k = (BITS << level) // 64, np.full(len(self), -1, dtype=np.int64), [], 0
+            for own in range(level, LEVELS + 1):
+                mine = np.flatnonzero(self.level == own)
+                if not len(mine):
+                    continue
+                x = np.frombuffer(b"".join(self.sketch[i] for i in mine.tolist()), dtype=np.uint64).reshape(len(mine), -1, width)
+                parts.append(np.bitwise_xor.reduce(x, axis=1))
+                place[mine] = np.arange(k, k + len(mine))
+                k += len(mine)
+            self._at_level[level] = np.ascontiguousarray(np.concatenate(parts).T) if parts else np.zeros((width, 0), dtype=np.uint64), place
+        return self._at_level[level]
 
 
-def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def may_be_similar(a: _Side, b: _Side, i: np.ndarray, j: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs (i of a, j of b) which lengths and sketches allow to be similar.
+
+    Lengths never exclude a similar pair. Sketches exclude one if they differ in more bits than elements may, or by six standard
+    deviations more than expected of so many elements (which is less only for records of thousands of words).
+    """
+    total = a.n[i] + b.n[j]
+    keep = 2 * np.minimum(a.n[i], b.n[j]) >= threshold * total - 1e-6
+    i, j = i[keep], j[keep]
+    alone = (1 - threshold) * total[keep] + 1e-6  # elements that only one of two similar records has
+    for level in range(LEVELS + 1):
+        both = np.minimum(a.level[i], b.level[j]) >= level
+        if not both.any():
+            break
+        bits = BITS << level
+        most = np.minimum(alone, bits / 2 * -np.expm1(-2 * alone / bits) + 3 * math.sqrt(bits))
+        most[~both] = bits
+        (x, px), (y, py) = a.at_level(level), b.at_level(level)
+        differ = np.zeros(len(i), dtype=np.int64)
+        for k in range(len(x)):
+            if not len(i):
+                break
+            u, v = px[i], py[j]
+            differ += np.where((u >= 0) & (v >= 0), np.bitwise_count(x[k, u] ^ y[k, v]), 0)
+            if k % 2:
+                keep = differ <= most
+                i, j, alone, most, differ = i[keep], j[keep], alone[keep], most[keep], differ[keep]
+    return i, j
+
+
+def _within(side: _Side, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of neighbours in order of buckets that share a bucket and may be similar."""
+    lefts, rights = [], []
+    i, d = np.arange(len(side) - 1), 1
+    while True:
+        i = i[: np.searchsorted(i, len(side) - d)]
+        i = i[side.bucket[i] == side.bucket[i + d]]
+        if not len(i):
+            break
+        x, y = may_be_similar(side, side, i, i + d, threshold)
+        lefts.append(side.rec[x])
+        rights.append(side.rec[y])
+        d += 1
+    return (np.concatenate(lefts), np.concatenate(rights)) if lefts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _across(left: _Side, right: _Side, threshold: float, step: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in range(0, len(left), step):
+        m = min(step, len(left) - k)
+        x, y = may_be_similar(left, right, np.repeat(np.arange(k, k + m), len(right)), np.tile(np.arange(len(right)), m), threshold)
+        lefts.append(left.rec[x])
+        rights.append(right.rec[y])
+    return np.concatenate(lefts), np.concatenate(rights)
+
+
+_MET = "bucket long, a long, b long, n int, sketch binary"
+_MET_ARROW = pa.schema([("bucket", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()), ("sketch", pa.binary())])
+
+
+def _pairs_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    pairs = pd.DataFrame({"a": low[low != high], "b": high[low != high]}).drop_duplicates()
+    n = len(pairs)
+    return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(pairs["a"].to_numpy()), pa.array(pairs["b"].to_numpy()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_MET_ARROW)
+
+
+def _open_batch(side: _Side) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(side.bucket), pa.array(side.rec), pa.nulls(len(side), pa.int64()), pa.array(side.n.astype(np.int32)), pa.array(side.sketch, pa.binary())], schema=_MET_ARROW)
+
+
+def _meet(threshold: float, block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (bucket, rec, n, sketch) in order of buckets: pairs (a, b) that share a bucket and may be similar.
+
+    The first and the last bucket of a partition may go on in another, and one of more than ``block`` records isn't compared here:
+    their records come out as they are (b is null).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, apart = None, None  # what waits for the end of its bucket; the bucket that is handed on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            side = _Side.of_batch(batch)
+            side = rest.with_more(side) if rest is not None else side
+            if apart is None:
+                apart = side.bucket[0]
+            last = int(np.searchsorted(side.bucket, side.bucket[-1]))
+            if len(side) - last > block:
+                apart_now, whole, rest = side[last:], side[:last], None
+            else:
+                apart_now, whole, rest = None, side[:last], side[last:]
+            on = whole.bucket == apart
+            if on.any():
+                yield _open_batch(whole[on])
+            if apart_now is not None:
+                apart = side.bucket[-1]
+                yield _open_batch(apart_now)
+            if (~on).any():
+                yield _pairs_batch(*_within(whole[~on], threshold))
+        if rest is not None:
+            yield _open_batch(rest)
+
+    return run
+
+
+def _compare(threshold: float) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+    """A block of comparisons: all of side 0 with all of side 1, or with each other where there is no side 1."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        sides = [_Side(*(s[c].to_numpy() for c in ("bucket", "a", "n")), list(s["sketch"])) for s in (rows[rows["side"] == 0], rows[rows["side"] == 1])]
+        if key[1] == key[2]:
+            sides[1] = sides[0]
+        a, b = _across(*sides, threshold)
+        out = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return out[out["a"] != out["b"]].drop_duplicates()
+
+    return run
+
+
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Similarity of pairs (a, b, x, y), x and y being the hashed words."""
     with np.errstate(over="ignore"):
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
                 continue
-            bands, sketch, marks, elements = signatures(list(pdf["words"]))
-            yield pd.DataFrame({"rep": pdf["rep"], "bands": list(bands), "s1": sketch[:, 0], "s2": sketch[:, 1], "m": list(marks), "e": elements})
+            (x, nx), (y, ny) = _flat(batch["x"]), _flat(batch["y"])
+            ex, ox = elements(x, np.repeat(np.arange(n), nx))
+            ey, oy = elements(y, np.repeat(np.arange(n), ny))
+            both, owner = np.concatenate([ex, ey]), np.concatenate([ox, oy])
+            order = np.lexsort((both, owner))
+            both, owner = both[order], owner[order]
+            twice = (both[1:] == both[:-1]) & (owner[1:] == owner[:-1])
+            common = np.bincount(owner[1:][twice], minlength=n)
+            yield pa.RecordBatch.from_pydict({"a": batch["a"], "b": batch["b"], "similarity": pa.array(2 * common / (nx + ny))})
 
 
 class NearRecords:
     """Classes of equal records, and the checked links between their representatives.
 
     Takes records (record_id, messages); other columns are ignored. Null messages or contents are empty
-    texts. Records of fewer than ``least_words`` words don't take part; repeated rows count once.
+    texts. Records of fewer than ``least_words`` words don't take part; repeated rows count once. Records with the same
+    words in any order are a class, represented by its least record_id.
+
+    A hot class is counted before it is shuffled, and where a table is joined by class or record, the runtime splits
+    partitions that are skewed.
     """
 
-    def __init__(self, records: DataFrame, threshold: float = THRESHOLD, least_words: int = LEAST_WORDS):
-        self.threshold = threshold
-        words = spread(records.select("record_id", "messages")).where("record_id is not null").select("record_id", record_words(records).alias("words")).where(F.size("words") >= least_words)
-        keyed = words.withColumn("same", F.md5(F.array_join(F.array_sort("words"), " ")))
-        least = keyed.groupBy("same").agg(F.min("record_id").alias("rep"))
-        salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        placed = keyed.withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int")).join(salted, ["same", "salt"])
-        # words are kept once per class
-        kept = cut(placed.select("record_id", "rep", F.when(F.col("record_id") == F.col("rep"), F.col("words")).alias("words")))
-        self.members = kept.select("record_id", "rep").distinct()
-        self.texts = kept.where("words is not null").dropDuplicates(["rep"]).select("rep", "words")
-        self.links = self._links()
-
-    def _links(self) -> DataFrame:
+    def __init__(self, records: DataFrame, threshold: float = THRESHOLD, least_words: int = LEAST_WORDS, block: int = BLOCK):
+        self.threshold, self.block = threshold, block
+        given = records.select("record_id", "messages").where("record_id is not null")
+        self._words = spread(given).select("record_id", F.transform(record_words(), lambda w: F.xxhash64(w)).alias("words")).where(F.size("words") >= max(least_words, 1))
+        signed = cut(self._words.mapInArrow(_sign(*band_shape(given.count(), threshold)), _SIGNED))
+        several = signed.groupBy("k1", "k2").agg(F.min("record_id").alias("least"), F.count("*").alias("m")).where("m > 1").drop("m")
+        classed = signed.join(several, ["k1", "k2"], "left").withColumn("rep", F.coalesce("least", "record_id"))
+        # a record that is alone in its class was delivered once
+        self.members = classed.where("least is null").select("record_id", "rep").unionAll(classed.where("least is not null").select("record_id", "rep").distinct())
+        firsts = classed.where("least is not null and rep = record_id").dropDuplicates(["rep"])
+        own = classed.where("least is null").unionByName(firsts).select("rep", "n", "sketch", "bands")
+        self.links = self._links(own)
+
+    def _links(self, own: DataFrame) -> DataFrame:
         """``(a, b, similarity)``, a < b, of representatives that are similar enough."""
-        signed = cut(self.texts.mapInPandas(_signed, "rep long, bands array<long>, s1 long, s2 long, m array<long>, e array<long>"))
-        self._signed = signed.select("rep", "s1", "s2", F.size("e").alias("n"), "m")
-        self._elements = signed.select("rep", "e")
-        links = cut(self._check(self._met(signed.select("rep", "s1", "s2", F.explode("bands").alias("bucket")))))
-        tried = None
-        while True:
-            # a record's hubs are itself and the HUBS of its neighbours that come first by hash, so that
-            # records with like neighbourhoods share hubs, however many neighbours they have
-            both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            first = Window.partitionBy("a").orderBy(F.xxhash64("b"), "b")
-            hubs = both.withColumn("k", F.row_number().over(first)).where(F.col("k") <= HUBS).select("a", F.col("b").alias("hub"))
-            near = cut(hubs.unionAll(both.select("a", F.col("a").alias("hub")).distinct()))
-            left, right = near.select("a", "hub"), near.select(F.col("a").alias("b"), "hub")
-            new = left.join(right, "hub").where("a < b").select("a", "b").distinct().join(links.select("a", "b"), ["a", "b"], "left_anti")
-            if tried is not None:
-                new = new.join(tried, ["a", "b"], "left_anti")
-            new = cut(new)
-            found = cut(self._check(new))
-            tried = new if tried is None else new.unionAll(tried)
-            if found.isEmpty():
-                return links
-            links = cut(links.unionAll(found))
-
-    def _met(self, buckets: DataFrame) -> DataFrame:
-        """``(a, b)``, a < b, of all records that share a bucket and whose sketches agree enough."""
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", blocks.alias("blocks"))
-        salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        shared = buckets.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["bucket", "salt"])
-        dealt = shared.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks")).cast("int"))
-        # blocks i <= j of a bucket meet once, in a task of their own
-        left = dealt.select("bucket", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.col("rep").alias("a"), "s1", "s2")
-        right = dealt.select("bucket", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("rep").alias("b"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
-        met = left.join(right, ["bucket", "i", "j"]).where(((F.col("i") < F.col("j")) | (F.col("a") < F.col("b"))) & self._agree())
-        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        rows = own.select(F.explode("bands").alias("bucket"), F.col("rep").alias("rec"), "n", "sketch")
+        met = cut(rows.repartitionByRange("bucket", "rec").sortWithinPartitions("bucket").mapInArrow(_meet(self.threshold, self.block), _MET))
+        pairs = met.where("b is not null").select("a", "b").unionAll(self._blocks(met.where("b is null"))).distinct()
+        pairs = cut(pairs)
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("record_id")).distinct()
+        texts = cut(self._words.join(wanted, "record_id", "left_semi").dropDuplicates(["record_id"]))
+        x, y = texts.select(F.col("record_id").alias("a"), F.col("words").alias("x")), texts.select(F.col("record_id").alias("b"), F.col("words").alias("y"))
+        checked = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_common, "a long, b long, similarity double")
+        return cut(checked.where(F.col("similarity") >= self.threshold))
 
-    @staticmethod
-    def _agree() -> Column:
-        return 128 - F.bit_count(F.col("s1").bitwiseXOR(F.col("t1"))) - F.bit_count(F.col("s2").bitwiseXOR(F.col("t2"))) >= BITS
-
-    def _may(self) -> Column:
-        """Whether marks allow the similarity: an element whose mark the other record lacks isn't in it."""
-        lacks = lambda x, y: sum(F.bit_count(F.col(x)[k].bitwiseAND(F.bitwise_not(F.col(y)[k]))) for k in range(4))
-        most = F.least(F.col("n") - lacks("m", "v"), F.col("k") - lacks("v", "m"))
-        return 2 * most >= self.threshold * (F.col("n") + F.col("k")) - 1e-6
-
-    def _check(self, pairs: DataFrame) -> DataFrame:
-        """Exact similarity of pairs whose sketches agree enough and whose marks allow it."""
-        s = self._signed
-        second = s.select(F.col("rep").alias("b"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("n").alias("k"), F.col("m").alias("v"))
-        alike = pairs.join(s.withColumnRenamed("rep", "a"), "a").join(second, "b").where(self._agree() & self._may()).select("a", "b")
-        e = self._elements
-        texts = alike.join(e.select(F.col("rep").alias("a"), F.col("e").alias("x")), "a").join(e.select(F.col("rep").alias("b"), F.col("e").alias("y")), "b")
-        similarity = 2 * F.size(F.array_intersect("x", "y")) / (F.size("x") + F.size("y"))
-        return texts.select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= self.threshold)
+    def _blocks(self, rows: DataFrame) -> DataFrame:
+        """Pairs of the records of buckets that weren't compared where they lay."""
+        sizes = rows.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket", F.ceil(F.col("m") / self.block).cast("int").alias("blocks"))
+        dealt = rows.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
+        kept = ["bucket", "i", "j", "side", "a", "n", "sketch"]
+        left = dealt.select("*", F.col("block").alias("i"), F.lit(0).alias("side"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j")).select(*kept)
+        right = dealt.where("block > 0").select("*", F.col("block").alias("j"), F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i")).select(*kept)
+        return left.unionAll(right).groupBy("bucket", "i", "j").applyInPandas(_compare(self.threshold), "a long, b long")
 
     def pairs(self) -> DataFrame:
         """``(record_a, record_b)``, record_a < record_b: all similar pairs, copies included."""

@@ -143,9 +143,8 @@ def test_near_pairs_equal_brute_force(spark):
     assert {r["record_id"]: r["n_links"] for r in found.groups().collect()} == {k: links[k] for k in kept}
 
 
-def test_near_hot_group_of_edited_copies(spark, monkeypatch):
+def test_near_hot_group_of_edited_copies(spark):
     """1,200 copies of one text, each with 4 to 34 words of 90 replaced by words of its own: only some pairs are alike."""
-    monkeypatch.setattr(near, "BLOCK", 100, raising=False)
     rng = np.random.default_rng(5)
     n, words = 1200, 90
     kept = np.ones((n, words), dtype=bool)
@@ -155,11 +154,57 @@ def test_near_hot_group_of_edited_copies(spark, monkeypatch):
     common = kept.astype(int) @ kept.T
     a, b = np.nonzero(np.triu(common / words >= 0.8, 1))
     want = set(zip(a.tolist(), b.tolist()))
-    got = [tuple(r) for r in near.NearRecords(spark.createDataFrame(data, CHAT)).pairs().collect()]
+    got = [tuple(r) for r in near.NearRecords(spark.createDataFrame(data, CHAT), block=100).pairs().collect()]
     assert len(got) == len(set(got)) and set(got) <= want
     assert len(want) > 10_000 and len(want) - len(got) <= len(want) / 1000
 
 
+@pytest.mark.parametrize("block", [near.BLOCK, 40])
+def test_near_star_chain_and_clique(spark, block):
+    """Copies that resemble only their origin, only their neighbours, or all each other, beside each other."""
+    rng = random.Random(8)
+    new = lambda: f"n{rng.getrandbits(50):x}"
+
+    def edited(words, k):
+        places = set(rng.sample(range(len(words)), k))
+        return [new() if p in places else w for p, w in enumerate(words)]
+
+    star = [[new() for _ in range(200)]]
+    star += [edited(star[0], 36) for _ in range(400)]
+    chain = [[new() for _ in range(100)]]
+    for _ in range(100):
+        chain.append(edited(chain[-1], 19))
+    clique = [[new() for _ in range(1000)]]
+    clique += [edited(clique[0], 90) for _ in range(30)]
+    rows = star + chain + clique
+    want = {(a, b) for part in (range(401), range(401, 502), range(502, 533)) for a in part for b in part if a < b and dice(rows[a], rows[b]) >= 0.8}
+    assert {(0, k) for k in range(1, 401)} | {(k, k + 1) for k in range(401, 501)} <= want and len(want) >= 400 + 100 + 31 * 30 / 2
+    data = [(k, chat(" ".join(w[:9]), " ".join(w[9:]))) for k, w in enumerate(rows)]
+    got = {tuple(r) for r in near.NearRecords(spark.createDataFrame(data, CHAT), block=block).pairs().collect()}
+    assert got <= want and len(got) >= 0.999 * len(want)
+
+
+def test_near_sketches_exclude_no_similar_pair():
+    rng = np.random.default_rng(9)
+    with np.errstate(over="ignore"):
+        for n in (45, 99, 130, 420, 900, 4000):
+            words = rng.integers(0, 1 << 62, n).astype(np.uint64)
+            many = [words.copy() for _ in range(40)]
+            for w in many[1:]:
+                w[rng.permutation(n)[: n // 5]] = rng.integers(0, 1 << 62, n // 5).astype(np.uint64)
+            element, owner = near.elements(np.concatenate(many), np.repeat(np.arange(40), n))
+            sketch, at = near.sketches(element, owner, near.levels(np.full(40, n)))
+            side = near._Side(np.zeros(40, np.int64), np.arange(40), np.full(40, n), [sketch[a:b].tobytes() for a, b in zip(at[:-1], at[1:])])
+            i, _ = near.may_be_similar(side, side, np.zeros(39, np.int64), np.arange(1, 40), 0.8)
+            assert len(i) == 39
+
+
+def test_near_bands_meet_alike_at_every_size():
+    for n in (0, 1, 10**4, 10**6, 10**9, 10**12):
+        bands, rows = near.band_shape(n)
+        assert near.MEETINGS <= bands * (2 / 3) ** rows < near.MEETINGS + 1 and n * near.CHANCE**rows <= near.CHANCE_MEMBERS
+
+
 @pytest.mark.parametrize("words", [1000, 3000])
 def test_near_long_records_of_a_hot_group(spark, words):
     """Every third record is an edited copy of one long text: its shared words are common, the edits are rare."""
