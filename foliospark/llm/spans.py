@@ -31,9 +31,13 @@ SPAN = 200
 PHRASE = 64
 #: Characters by which the stretches that select contexts fall short of a window.
 STEP = 34
-#: Phrases in one automaton (about 64 nodes each), and characters that one task streams through it.
+#: Phrases in one automaton (about 64 nodes each), and characters that one task streams through it; a phrase in a text
+#: brings the windows around it.
 SHARD_PHRASES = 40_000
 TASK_CHARACTERS = 4_000_000
+AROUND = 2 * SPAN - PHRASE
+#: Shards up to which their loads (two numbers each) are broadcast.
+MOST_SHARDS = 10_000
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _SEED = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 #: White space as code points, fixed by Unicode, with the separators U+001C to U+001F.
@@ -48,14 +52,14 @@ def single_spaced(text: Column) -> Column:
 def texts_of(pages: DataFrame, records: DataFrame) -> DataFrame:
     """``(tbl, row_id, part, r, text)``: page texts (tbl 0), and the user and assistant messages of records (tbl 1).
 
-    r is one number per row of either table (ids are taken to lie within 62 bits). Texts are single-spaced; part counts the texts of a row. Null texts, rows without an id and texts shorter than SPAN have no
-    shared spans and are left out.
+    r is one number per row of either table (ids are taken to lie within 62 bits). Texts are single-spaced; part counts the
+    texts of a row. Null texts and rows without an id are left out.
     """
     page = pages.select(F.lit(0).alias("tbl"), F.col("artifact_id").alias("row_id"), F.lit(0).alias("part"), F.col("page_text").alias("text"))
     said = records.select(F.lit(1).alias("tbl"), F.col("record_id").alias("row_id"), F.posexplode("messages").alias("part", "m")).where(F.col("m.role").isin("user", "assistant"))
     both = page.unionByName(said.select("tbl", "row_id", "part", F.col("m.content").alias("text")))
     row = (F.shiftleft("row_id", 1) + F.col("tbl")).alias("r")
-    return both.where("row_id is not null").select("tbl", "row_id", "part", row, single_spaced(F.col("text")).alias("text")).where(F.length("text") >= SPAN)
+    return both.where("row_id is not null").select("tbl", "row_id", "part", row, single_spaced(F.col("text")).alias("text")).where("text is not null")
 
 
 def _codes(text: str) -> np.ndarray:
@@ -225,36 +229,42 @@ def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not f:
                 continue
             of = np.concatenate(of)
-            yield pd.DataFrame({"f": np.concatenate(f).view(np.int64), "g": np.concatenate(g).view(np.int64), "start": np.concatenate(at), "cid": pdf["cid"].to_numpy()[of],
-                                **{c: pdf[c].to_numpy()[of] for c in ("lo", "hi", "open")}})
+            yield pd.DataFrame({"f": np.concatenate(f).view(np.int64), "g": np.concatenate(g).view(np.int64), "start": np.concatenate(at),
+                                **{c: pdf[c].to_numpy()[of] for c in ("c", "d", "lo", "hi", "open")}})
 
 
 class SharedSpans:
     """Rows of ``texts`` (tbl, row_id, part, r, text) that share spans, and how much of them is shared.
 
-    Rows delivered twice are one row, and a span that recurs only within its own row isn't shared.
-    ``occurrences``: (r, part, at, cid) of recurring phrases, cid being the context; ``contexts``: (cid, lead, context, lo, hi),
-    with the least and greatest row that has it.
+    Rows delivered twice are one row, and a span that recurs only within its own row isn't shared; texts shorter than SPAN
+    have none.
+    ``occurrences``: (r, part, at, c, d) of recurring phrases, c and d being the 128 bits that name the context; ``contexts``:
+    (c, d, lead, context, lo, hi), with the least and greatest row that has it.
     """
 
     def __init__(self, texts: DataFrame):
-        self.texts = texts = spread(texts)
+        self.every = texts
+        texts = spread(texts).where(F.length("text") >= SPAN)
         anchors = cut(texts.select("r", "text").mapInPandas(_find_anchors, "h long, r long"))
         recurring = anchors.groupBy("h").agg(*_range()).where(_TWO_ROWS).select("h")
-        hits = anchors.join(recurring, "h").groupBy("r").agg(F.collect_set("h").alias("hs"))  # of one row
-        holders = cut(texts.select("r", "part", "text").join(hits, "r"))
+        met = anchors.join(recurring, "h")
+        holders = cut(texts.select("r", "part", "text").join(met.groupBy("r").agg(F.collect_set("h").alias("hs")), "r"))  # of one row
         phrases = holders.select("r", "text", "hs").mapInPandas(_cut_phrases, "phrase string, h long, r long")
         confirmed = cut(phrases.groupBy("phrase", "h").agg(*_range()).where(_TWO_ROWS).select("phrase", "h"))
-        n, characters = confirmed.count(), holders.agg(F.sum(F.length("text"))).first()[0] or 0
-        shards, tasks = max(1, math.ceil(n / SHARD_PHRASES)), max(1, math.ceil(characters / TASK_CHARACTERS))
-        # a text meets only the shards that hold a phrase chosen in it, and only with the stretches around
-        # those phrases; each task of a shard compiles the shard's automaton for its part of the texts
-        compiled = confirmed.select("phrase", F.pmod("h", F.lit(shards)).cast("int").alias("shard")).withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
-        routed = holders.mapInPandas(_route(shards), "shard int, r long, part int, offset int, text string").withColumn("task", F.pmod(F.xxhash64("r", "part"), F.lit(tasks)).cast("int"))
-        found = compiled.groupBy("shard", "task").cogroup(routed.groupBy("shard", "task")).applyInPandas(_stream, "r long, part int, at int, lead int, context string")
-        whole = cut(found.withColumn("cid", F.xxhash64("context", "lead")))
-        self.occurrences = whole.select("r", "part", "at", "cid").distinct()
-        self.contexts = cut(whole.groupBy("cid").agg(*_range(), F.min("lead").alias("lead"), F.min("context").alias("context")))
+        # a text meets only the shards that hold a phrase chosen in it, and only with the stretches around those phrases; a
+        # shard has as many tasks as its own stretches need, each of which compiles the shard's automaton. So phrases are copied
+        # in proportion to the characters they meet: SHARD_PHRASES phrases for TASK_CHARACTERS characters.
+        shards = max(1, math.ceil(confirmed.count() / SHARD_PHRASES))
+        shard = F.pmod("h", F.lit(shards)).cast("int").alias("shard")
+        loads = holders.select(F.explode("hs").alias("h")).groupBy(shard).agg(F.ceil(F.count("*") * AROUND / TASK_CHARACTERS).cast("int").alias("tasks"))
+        self.compiled = confirmed.select("phrase", shard).join(loads, "shard").select("phrase", "shard", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"))
+        routed = holders.mapInPandas(_route(shards), "shard int, r long, part int, offset int, text string").join(F.broadcast(loads) if shards <= MOST_SHARDS else loads, "shard")
+        routed = routed.withColumn("task", F.pmod(F.xxhash64("r", "part"), F.col("tasks")).cast("int")).drop("tasks")
+        found = self.compiled.groupBy("shard", "task").cogroup(routed.groupBy("shard", "task")).applyInPandas(_stream, "r long, part int, at int, lead int, context string")
+        named = found.withColumns({"c": F.xxhash64("context", "lead"), "d": F.xxhash64(F.lit("second"), "lead", "context")})
+        whole = cut(named)
+        self.occurrences = whole.select("r", "part", "at", "c", "d").distinct()
+        self.contexts = cut(whole.groupBy("c", "d").agg(*_range(), F.min("lead").alias("lead"), F.min("context").alias("context")))
 
     @staticmethod
     def _meeting(contexts: DataFrame) -> DataFrame:
@@ -264,16 +274,16 @@ class SharedSpans:
         STEP before the phrase that the window holds to STEP characters short of its end; that stretch is the key.
         """
         right = F.greatest(F.lit(SPAN - PHRASE - STEP + 1) - F.col("left"), F.lit(0))
-        keyed = contexts.select("cid", "open", "lead", "context", F.explode(F.sequence(F.lit(0), F.col("lead"), F.lit(STEP))).alias("left")).select(
-            "cid", "open", F.xxhash64("left", F.substring("context", F.col("lead") - F.col("left") + 1, F.col("left") + PHRASE + right)).alias("key"))
-        shared = keyed.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("b"), F.bool_or("open").alias("o")).where("o and a < b").select("key")
-        return contexts.join(keyed.join(shared, "key").select("cid").distinct(), "cid", "left_semi")
+        keyed = contexts.select("c", "d", "open", "lead", "context", F.explode(F.sequence(F.lit(0), F.col("lead"), F.lit(STEP))).alias("left")).select(
+            "c", "d", "open", F.xxhash64("left", F.substring("context", F.col("lead") - F.col("left") + 1, F.col("left") + PHRASE + right)).alias("key"))
+        shared = keyed.groupBy("key").agg(F.min(F.struct("c", "d")).alias("a"), F.max(F.struct("c", "d")).alias("b"), F.bool_or("open").alias("o")).where("o and a < b").select("key")
+        return contexts.join(keyed.join(shared, "key").select("c", "d").distinct(), ["c", "d"], "left_semi")
 
     def _recurring(self, contexts: DataFrame) -> DataFrame:
-        """``(cid, start)`` of the windows of open contexts (a boolean column) that also stand in another row."""
-        windows = self._meeting(contexts).mapInPandas(_fingerprints, "f long, g long, start int, cid long, lo long, hi long, open boolean")
+        """``(c, d, start)`` of the windows of open contexts (a boolean column) that also stand in another row."""
+        windows = self._meeting(contexts).mapInPandas(_fingerprints, "f long, g long, start int, c long, d long, lo long, hi long, open boolean")
         twice = windows.groupBy("f", "g").agg(*_range("lo", "hi")).where(_TWO_ROWS).select("f", "g")
-        return windows.where("open").select("f", "g", "cid", "start").join(twice, ["f", "g"]).select("cid", "start")
+        return windows.where("open").select("f", "g", "c", "d", "start").join(twice, ["f", "g"]).select("c", "d", "start")
 
     def rows(self) -> DataFrame:
         """``(tbl, row_id)`` of rows that share a span.
@@ -281,24 +291,25 @@ class SharedSpans:
         A context that two rows have is shared as a whole, which settles most rows; only contexts of the
         others are open, and compared window by window.
         """
-        both = self.contexts.where(_TWO_ROWS).select("cid")
-        settled = cut(self.occurrences.join(both, "cid").select("r").distinct())
+        both = self.contexts.where(_TWO_ROWS).select("c", "d")
+        settled = cut(self.occurrences.join(both, ["c", "d"]).select("r").distinct())
         marked = self.contexts.join(settled.select(F.col("r").alias("lo"), F.lit(True).alias("_settled")), "lo", "left").withColumn("open", F.col("_settled").isNull()).drop("_settled")
-        more = marked.select("cid", "lo").join(self._recurring(marked).select("cid").distinct(), "cid").select(F.col("lo").alias("r"))
+        more = marked.select("c", "d", "lo").join(self._recurring(marked).select("c", "d").distinct(), ["c", "d"]).select(F.col("lo").alias("r"))
         return settled.unionAll(more).distinct().select(F.pmod("r", F.lit(2)).cast("int").alias("tbl"), F.shiftright("r", 1).alias("row_id"))
 
     def shares(self) -> DataFrame:
-        """``(tbl, row_id, shared_chars, n_chars)`` of rows that share a span: characters that lie in a shared span, and all."""
+        """``(tbl, row_id, shared_chars, n_chars)`` of rows that share a span: characters that lie in a shared span, and
+        all characters of the row's texts, short texts included."""
         alone = self._recurring(self.contexts.withColumn("open", F.col("lo") == F.col("hi")))
         last = F.least(F.col("lead"), F.length("context") - SPAN)
-        windows = alone.unionAll(self.contexts.where(_TWO_ROWS).select("cid", F.explode(F.sequence(F.lit(0), last)).alias("start")))
-        starts = self.occurrences.join(windows.groupBy("cid").agg(F.collect_set("start").alias("starts")), "cid")  # at most SPAN starts
+        windows = alone.unionAll(self.contexts.where(_TWO_ROWS).select("c", "d", F.explode(F.sequence(F.lit(0), last)).alias("start")))
+        starts = self.occurrences.join(windows.groupBy("c", "d").agg(F.collect_set("start").alias("starts")), ["c", "d"])  # at most SPAN starts
         places = starts.select("r", "part", F.explode(F.transform("starts", lambda s: s + F.col("at"))).alias("s")).distinct()
         spans = places.groupBy("r", "part").agg(F.array_sort(F.collect_set("s")).alias("s"))  # of one text
         # a window adds what it doesn't share with the window before it
         covered = F.aggregate(F.sequence(F.lit(1), F.size("s")), F.lit(0), lambda n, k: n + F.when(k == 1, F.lit(SPAN)).otherwise(F.least(F.lit(SPAN), F.element_at("s", k) - F.element_at("s", F.greatest(k - 1, F.lit(1))))))
         shared = spans.select("r", covered.alias("shared")).groupBy("r").agg(F.sum("shared").alias("shared_chars"))
-        sizes = self.texts.select("r", "part", F.length("text").alias("n")).dropDuplicates(["r", "part"]).groupBy("r").agg(F.sum("n").alias("n_chars"))
+        sizes = self.every.select("r", "part", F.length("text").alias("n")).dropDuplicates(["r", "part"]).groupBy("r").agg(F.sum("n").alias("n_chars"))
         return shared.join(sizes, "r").select(F.pmod("r", F.lit(2)).cast("int").alias("tbl"), F.shiftright("r", 1).alias("row_id"), "shared_chars", "n_chars")
 
 
