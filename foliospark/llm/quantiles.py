@@ -18,18 +18,18 @@ from pyspark.sql import functions as F
 
 from foliospark.sources.tables import once_per
 
-#: Depth of the tree: 65,536 cells.
-LEVELS = 16
+#: Depth of the tree: 262,144 cells, for 256 powers of two.
+LEVELS = 18
 #: Cells per power of two; values in a cell differ by at most 1/1024 of their size.
 STEPS = 1024
 #: Compression factor: rank error of at most LEVELS / FACTOR, here 0.1 %.
-FACTOR = 16_000
+FACTOR = 18_000
 PERCENTS = [1, 5, 10, 25, 50, 75, 90, 95, 99]
 
 #: A call can't have lasted longer than a day.
 LONGEST_MS = 86_400_000
-#: Measures and the value of their first cell border; 64 powers of two above it fit the universe.
-MEASURES = {"latency_ms": 2.0**-10, "estimated_cost_usd": 2.0**-40}
+#: Measures and the value of their first cell border: smaller values count as 0, and costs from 2**128 on as the last below it.
+MEASURES = {"latency_ms": 2.0**-10, "estimated_cost_usd": 2.0**-128}
 
 
 def model_name(model: Column) -> Column:
@@ -38,10 +38,10 @@ def model_name(model: Column) -> Column:
     return F.when(name.isNull() | (name == ""), "unknown").otherwise(name)
 
 
-def cell(value: Column, unit: float) -> Column:
+def cell(value: Column, unit: Column) -> Column:
     """Ordered cell of a value: 0 for values under the unit (zero included), else one of STEPS linear
     steps inside its power of two. Values beyond the universe fall into the last cell."""
-    x = value / F.lit(unit)
+    x = value / unit
     # floor of the binary logarithm, corrected where log2 rounds across a power of two
     guess = F.floor(F.log2(x)).cast("int")
     power = F.when(F.pow(F.lit(2.0), guess) > x, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= x, guess + 1).otherwise(guess)
@@ -56,19 +56,27 @@ def cell_value(index: Column, unit: Column) -> Column:
     return F.when(index == 0, F.lit(0.0)).otherwise(unit * F.pow(F.lit(2.0), power) * (1 + (F.pmod(index - 1, F.lit(STEPS)) + 0.5) / STEPS))
 
 
+def _values(metrics: DataFrame) -> DataFrame:
+    """``(log_day, model, measure, value)`` of all valid measurements."""
+    rows = once_per(metrics.select("metric_id", "log_day", "model", "latency_ms", "estimated_cost_usd"), "metric_id")
+    cost = F.col("estimated_cost_usd")
+    return rows.select("log_day", model_name(F.col("model")).alias("model"), F.explode(F.array(
+        F.struct(F.lit("latency_ms").alias("measure"), F.when(F.col("latency_ms").between(1, LONGEST_MS), F.col("latency_ms").cast("double")).alias("value")),
+        F.struct(F.lit("estimated_cost_usd").alias("measure"), F.when((cost >= 0) & (cost < float("inf")), cost).alias("value")),
+    )).alias("m")).where("m.value is not null").select("log_day", "model", "m.*")
+
+
+def _unit() -> Column:
+    return F.when(F.col("measure") == "latency_ms", F.lit(MEASURES["latency_ms"])).otherwise(F.lit(MEASURES["estimated_cost_usd"]))
+
+
 def measured(metrics: DataFrame) -> DataFrame:
     """``(log_day, model, measure, cell, count)`` of all valid measurements, pre-aggregated.
 
     Repeated rows of a metric_id count once. Nulls, NaN, infinities, negative values and a latency of
     0 or less or of more than a day are no measurements; a cost of 0 is one. Late rows belong to the day they were logged.
     """
-    rows = once_per(metrics.select("metric_id", "log_day", "model", "latency_ms", "estimated_cost_usd"), "metric_id")
-    long = rows.select("log_day", model_name(F.col("model")).alias("model"), F.explode(F.array(
-        F.struct(F.lit("latency_ms").alias("measure"), F.when(F.col("latency_ms").between(1, LONGEST_MS), cell(F.col("latency_ms").cast("double"), MEASURES["latency_ms"])).alias("cell")),
-        F.struct(F.lit("estimated_cost_usd").alias("measure"), F.when(
-            (F.col("estimated_cost_usd") >= 0) & (F.col("estimated_cost_usd") < float("inf")), cell(F.col("estimated_cost_usd"), MEASURES["estimated_cost_usd"])).alias("cell")),
-    )).alias("m")).where("m.cell is not null")
-    return long.groupBy("log_day", "model", F.col("m.measure").alias("measure"), F.col("m.cell").alias("cell")).agg(F.count("*").alias("count"))
+    return _values(metrics).groupBy("log_day", "model", "measure", cell(F.col("value"), _unit()).alias("cell")).agg(F.count("*").alias("count"))
 
 
 def _compress(nodes: dict[int, int], factor: int) -> dict[int, int]:
@@ -179,11 +187,21 @@ def read_percentiles(digests: DataFrame, keys: list[str], percents: list[float]
     """
     schema = ", ".join(f"`{k}` string" for k in keys) + ", percent double, n long, cell int, rank_error double"
     rows = digests.groupBy(*keys).applyInPandas(_reader(keys, percents, factor), schema)
-    unit = F.when(F.col("measure") == "latency_ms", F.lit(MEASURES["latency_ms"])).otherwise(F.lit(MEASURES["estimated_cost_usd"]))
-    return rows.select(*keys, "percent", "n", cell_value(F.col("cell"), unit).alias("value"), "rank_error", F.lit(1 / STEPS).alias("value_error"))
+    return rows.select(*keys, "percent", "n", cell_value(F.col("cell"), _unit()).alias("value"), "rank_error", F.lit(1 / STEPS).alias("value_error"))
 
 
 def model_percentiles(metrics: DataFrame, percents: list[float] = PERCENTS, factor: int = FACTOR) -> DataFrame:
     """Percentiles of latency and cost per model, from digests per day that are then combined."""
     keys = ["model", "measure"]
     return read_percentiles(merged(daily_digests(metrics, factor), keys, factor), keys, percents, factor)
+
+
+def checked(metrics: DataFrame) -> DataFrame:
+    """``(model, measure, percent, n, within)``: whether each percentile keeps its stated errors, by exact ranks."""
+    keys = ["model", "measure"]
+    values = _values(metrics).groupBy(*keys, "value").agg(F.count("*").alias("count")).withColumnRenamed("value", "v")
+    margin = F.col("value") * 2 * F.col("value_error")
+    ranked = values.join(model_percentiles(metrics), keys).groupBy(*keys, "percent", "n", "rank_error").agg(
+        F.sum(F.when(F.col("v") < F.col("value") - margin, F.col("count")).otherwise(0)).alias("below"), F.sum(F.when(F.col("v") <= F.col("value") + margin, F.col("count")).otherwise(0)).alias("up_to"))
+    wanted, slack = F.greatest(F.ceil(F.col("n") * F.col("percent") / 100), F.lit(1)), F.col("n") * F.col("rank_error") + 1
+    return ranked.select(*keys, "percent", "n", ((F.col("below") <= wanted + slack) & (F.col("up_to") >= wanted - slack)).alias("within"))
