@@ -63,6 +63,21 @@ def test_spans_equal_brute_force(spark, monkeypatch, phrases):
     assert {(r["tbl"], r["row_id"]): r["shared_chars"] for r in shared.shares().collect()} == want
 
 
+def test_spans_phrases_are_copied_in_proportion_to_their_texts(spark, monkeypatch):
+    monkeypatch.setattr(spans, "SHARD_PHRASES", 40)
+    monkeypatch.setattr(spans, "TASK_CHARACTERS", 10_000)
+    rng = random.Random(5)
+    copied = {}
+    for n in (40, 320):  # every passage stands in two pages, and one in a third of all
+        hot = "".join(rng.choice("abcdefghij ") for _ in range(400))
+        passage = ["".join(rng.choice("abcdefghij ") for _ in range(600)) for _ in range(n // 2)]
+        pages = [(k, passage[k // 2] + (hot if k % 3 == 0 else "")) for k in range(n)]
+        shared = spans.SharedSpans(spans.texts_of(spark.createDataFrame(pages, "artifact_id long, page_text string"), spark.createDataFrame([], CHAT)))
+        assert shared.rows().count() == n
+        copied[n] = shared.compiled.count() / sum(len(t) for _, t in pages)
+    assert copied[320] < 1.5 * copied[40]
+
+
 def test_spans_of_nothing(spark):
     empty = spans.SharedSpans(spans.texts_of(spark.createDataFrame([], "artifact_id long, page_text string"), spark.createDataFrame([], CHAT)))
     assert empty.rows().count() == 0 and empty.shares().count() == 0
@@ -73,6 +88,10 @@ def test_spans_in_one_row_only_and_long_text(spark):
     pages = spark.createDataFrame([(1, text[:900] + " - " + text[:900]), (2, text[1000:]), (3, text[1000:])], "artifact_id long, page_text string")
     got = spans.SharedSpans(spans.texts_of(pages, spark.createDataFrame([], CHAT))).shares().collect()
     assert sorted((r["row_id"], r["shared_chars"], r["n_chars"]) for r in got) == [(2, len(text) - 1000, len(text) - 1000), (3, len(text) - 1000, len(text) - 1000)]
+    # short texts of a row count among its characters
+    chats = spark.createDataFrame([(1, [("user", " short  text "), ("assistant", text[1000:1500])])], CHAT)
+    got = spans.SharedSpans(spans.texts_of(pages.where("artifact_id > 1"), chats)).shares().where("tbl = 1").collect()
+    assert [(r["shared_chars"], r["n_chars"]) for r in got] == [(500, 510)]
 
 
 def test_rolling_and_window_minimum():
@@ -108,6 +127,9 @@ def test_percentiles_within_bounds(spark):
         at = r["percent"] / 100 * len(v)
         low, high = v[max(0, int(at - slack) - 1)], v[min(len(v) - 1, int(at + slack))]
         assert low * (1 - 2 * r["value_error"]) <= r["value"] <= high * (1 + 2 * r["value_error"])
+    assert quantiles.checked(df).where("not within").count() == 0
+    far = spark.createDataFrame([(k, "d", "m", 5, c) for k, c in enumerate([0.0, 1e-30, 1e-12, 3.0, 1e12, 1e30])], "metric_id long, log_day string, model string, latency_ms long, estimated_cost_usd double")
+    assert quantiles.checked(far).where("not within").count() == 0
     # digests of days are combined in any order
     split = quantiles.merged(quantiles.merged(daily.where("log_day < '2025-01-03'"), keys, factor).unionAll(quantiles.merged(daily.where("log_day >= '2025-01-03'"), keys, factor)), keys, factor)
     assert sorted((r["model"], r["measure"], r["n"]) for r in quantiles.read_percentiles(split, keys, [50], factor).collect()) == sorted({(r["model"], r["measure"], r["n"]) for r in got})
