@@ -159,39 +159,55 @@ def _sign(bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
 
 
 class _Side:
-    """Records as they are compared: bucket, rec, number of words and sketch (end to end, beginning at ``at``)."""
+    """Records as they are compared: bucket, rec, number of words, and where in ``bits`` (numbers of 64 bits) the sketch begins."""
 
-    def __init__(self, bucket: np.ndarray, rec: np.ndarray, n: np.ndarray, sketch: list[bytes]):
-        self.bucket, self.rec, self.n, self.sketch = bucket, rec, n.astype(np.int64), sketch
-        self._at_level: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    def __init__(self, bucket: np.ndarray, rec: np.ndarray, n: np.ndarray, bits: np.ndarray, start: np.ndarray):
+        self.bucket, self.rec, self.n, self.bits, self.start = bucket, rec, n.astype(np.int32), bits, start
+        self._at_level: dict[int, np.ndarray] = {}
         self.level = levels(self.n)
 
+    @staticmethod
+    def of(bucket: np.ndarray, rec: np.ndarray, n: np.ndarray, sketch: pa.Array) -> "_Side":
+        ends = np.frombuffer(sketch.buffers()[1], dtype=np.int32)[sketch.offset : sketch.offset + len(sketch) + 1] // 8
+        data = sketch.buffers()[2]
+        return _Side(bucket, rec, n, np.frombuffer(data, dtype=np.uint64) if data else np.zeros(0, np.uint64), ends[:-1].astype(np.int64))
+
     @staticmethod
     def of_batch(batch: pa.RecordBatch) -> "_Side":
-        return _Side(*(batch[c].to_numpy(zero_copy_only=False) for c in ("bucket", "rec", "n")), batch["sketch"].to_pylist())
+        return _Side.of(*(batch[c].to_numpy(zero_copy_only=False) for c in ("bucket", "rec", "n")), batch["sketch"])
 
     def __getitem__(self, k: np.ndarray) -> "_Side":
-        return _Side(self.bucket[k], self.rec[k], self.n[k], [self.sketch[i] for i in np.arange(len(self))[k].tolist()])
+        return _Side(self.bucket[k], self.rec[k], self.n[k], self.bits, self.start[k])
 
     def __len__(self) -> int:
         return len(self.rec)
 
     def with_more(self, other: "_Side") -> "_Side":
-        return _Side(*(np.concatenate([x, y]) for x, y in ((self.bucket, other.bucket), (self.rec, other.rec), (self.n, other.n))), self.sketch + other.sketch)
+        mine = _Side(self.bucket, self.rec, self.n, *self._packed())
+        return _Side(*(np.concatenate([x, y]) for x, y in ((mine.bucket, other.bucket), (mine.rec, other.rec), (mine.n, other.n), (mine.bits, other.bits), (mine.start, other.start + len(mine.bits)))))
+
+    def _packed(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sketches without what other records left between them."""
+        width = (BITS << self.level) // 64
+        start = np.cumsum(width) - width
+        return self.bits[np.repeat(self.start - start, width) + np.arange(width.sum())], start
 
-    def at_level(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sketches of BITS << level bits, a column for each 64 bits, and the column of each record; records of lower levels have none."""
+    def sketches(self) -> pa.Array:
+        bits, start = self._packed()
+        return pa.Array.from_buffers(pa.binary(), len(self), [None, pa.py_buffer((np.r_[start, len(bits)] * 8).astype(np.int32)), pa.py_buffer(bits)])
+
+    def at_level(self, level: int) -> np.ndarray:
+        """Sketches of BITS << level bits, a row for each 64 bits and a column for each record; those of lower levels are empty."""
         if level not in self._at_level:
-            width, place, parts, k = (BITS << level) // 64, np.full(len(self), -1, dtype=np.int64), [], 0
+            width = (BITS << level) // 64
+            out = np.zeros((width, len(self)), dtype=np.uint64)
             for own in range(level, LEVELS + 1):
                 mine = np.flatnonzero(self.level == own)
-                if not len(mine):
-                    continue
-                x = np.frombuffer(b"".join(self.sketch[i] for i in mine.tolist()), dtype=np.uint64).reshape(len(mine), -1, width)
-                parts.append(np.bitwise_xor.reduce(x, axis=1))
-                place[mine] = np.arange(k, k + len(mine))
-                k += len(mine)
-            self._at_level[level] = np.ascontiguousarray(np.concatenate(parts).T) if parts else np.zeros((width, 0), dtype=np.uint64), place
+                if len(mine):
+                    for k in range(width):  # what is laid over each other
+                        for part in range(k, width << (own - level), width):
+                            out[k, mine] ^= self.bits[self.start[mine] + part]
+            self._at_level[level] = out
         return self._at_level[level]
 
 
@@ -201,6 +217,11 @@ def may_be_similar(a: _Side, b: _Side, i: np.ndarray, j: np.ndarray, threshold:
     Lengths never exclude a similar pair. Sketches exclude one if they differ in more bits than elements may, or by six standard
     deviations more than expected of so many elements (which is less only for records of thousands of words).
     """
+    # half a sketch excludes most pairs
+    x, y = a.at_level(0), b.at_level(0)
+    half = np.bitwise_count(x[0][i] ^ y[0][j]).astype(np.int32) + np.bitwise_count(x[1][i] ^ y[1][j])
+    keep = half <= (1 - threshold) * (a.n[i] + b.n[j]) + 1e-6
+    i, j = i[keep], j[keep]
     total = a.n[i] + b.n[j]
     keep = 2 * np.minimum(a.n[i], b.n[j]) >= threshold * total - 1e-6
     i, j = i[keep], j[keep]
@@ -212,14 +233,11 @@ def may_be_similar(a: _Side, b: _Side, i: np.ndarray, j: np.ndarray, threshold:
         bits = BITS << level
         most = np.minimum(alone, bits / 2 * -np.expm1(-2 * alone / bits) + 3 * math.sqrt(bits))
         most[~both] = bits
-        (x, px), (y, py) = a.at_level(level), b.at_level(level)
+        x, y = a.at_level(level), b.at_level(level)
         differ = np.zeros(len(i), dtype=np.int64)
         for k in range(len(x)):
-            if not len(i):
-                break
-            u, v = px[i], py[j]
-            differ += np.where((u >= 0) & (v >= 0), np.bitwise_count(x[k, u] ^ y[k, v]), 0)
-            if k % 2:
+            differ += np.bitwise_count(x[k][i] ^ y[k][j])
+            if k % 4 == 3:
                 keep = differ <= most
                 i, j, alone, most, differ = i[keep], j[keep], alone[keep], most[keep], differ[keep]
     return i, j
@@ -229,9 +247,10 @@ def _within(side: _Side, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of neighbours in order of buckets that share a bucket and may be similar."""
     lefts, rights = [], []
     i, d = np.arange(len(side) - 1), 1
+    number = np.cumsum(np.r_[0, side.bucket[1:] != side.bucket[:-1]]).astype(np.int32)
+    last = np.searchsorted(number, number, side="right") - 1  # of the bucket of each row
     while True:
-        i = i[: np.searchsorted(i, len(side) - d)]
-        i = i[side.bucket[i] == side.bucket[i + d]]
+        i = i[last[i] >= i + d]
         if not len(i):
             break
         x, y = may_be_similar(side, side, i, i + d, threshold)
@@ -263,7 +282,7 @@ def _pairs_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 
 
 def _open_batch(side: _Side) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(side.bucket), pa.array(side.rec), pa.nulls(len(side), pa.int64()), pa.array(side.n.astype(np.int32)), pa.array(side.sketch, pa.binary())], schema=_MET_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(side.bucket), pa.array(side.rec), pa.nulls(len(side), pa.int64()), pa.array(side.n.astype(np.int32)), side.sketches()], schema=_MET_ARROW)
 
 
 def _meet(threshold: float, block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -305,7 +324,7 @@ def _compare(threshold: float) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
     """A block of comparisons: all of side 0 with all of side 1, or with each other where there is no side 1."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        sides = [_Side(*(s[c].to_numpy() for c in ("bucket", "a", "n")), list(s["sketch"])) for s in (rows[rows["side"] == 0], rows[rows["side"] == 1])]
+        sides = [_Side.of(*(s[c].to_numpy() for c in ("bucket", "a", "n")), pa.array(list(s["sketch"]), pa.binary())) for s in (rows[rows["side"] == 0], rows[rows["side"] == 1])]
         if key[1] == key[2]:
             sides[1] = sides[0]
         a, b = _across(*sides, threshold)
