@@ -21,6 +21,35 @@ def heading_goes_on(headings: Column) -> Column:
     return F.size(F.array_distinct(h)) < F.size(h)
 
 
+def _placed(pages: DataFrame, least: int, most: int, overlap: int) -> DataFrame:
+    """Fitting pages with their place in the book (_i), once for each window (_w) that holds them. Places are given by keys alone: texts
+    are neither sorted nor kept in a window."""
+    size = max(least, most)
+    step = max(1, size - max(0, overlap))
+    fit = pages.where("page_status = 'usable' and size(accepted_qas) > 0")
+    first = F.greatest(F.lit(0), F.ceil((F.col("_i") - size + 1) / step)).cast("int")
+    last = F.floor(F.col("_i") / step).cast("int")
+    order = Window.partitionBy("source_book").orderBy(F.coalesce("source_page", F.lit(0)), *(["artifact_id"] if "artifact_id" in pages.columns else []))
+    if "artifact_id" in pages.columns:
+        places = fit.select("artifact_id", "source_book", "source_page").withColumn("_i", F.row_number().over(order) - 1).select("artifact_id", "_i")
+        placed = fit.join(places, "artifact_id")
+    else:
+        placed = fit.withColumn("_i", F.row_number().over(order) - 1)
+    # with little overlap a page may lie between two windows
+    return placed.where(first <= last).withColumn("_w", F.explode(F.sequence(first, last)))
+
+
+def _pack_id() -> Column:
+    return F.concat("source_book", F.lit("::"), F.array_join(F.col("source_pages").cast("array<string>"), "-"))
+
+
+def pack_sizes(pages: DataFrame, least: int = 2, most: int = 3, overlap: int = 1) -> DataFrame:
+    """``pack_id, n_pages`` of the packs, without their content."""
+    page = F.coalesce("source_page", F.lit(0)).alias("page")
+    made = _placed(pages, least, most, overlap).groupBy("source_book", "_w").agg(F.array_sort(F.collect_list(F.struct("_i", page))).alias("p")).where(F.size("p") >= least)
+    return made.select("source_book", F.transform("p", lambda x: x["page"]).alias("source_pages")).select(_pack_id().alias("pack_id"), F.size("source_pages").alias("n_pages"))
+
+
 def evidence_packs(pages: DataFrame, least: int = 2, most: int = 3, overlap: int = 1) -> DataFrame:
     """Packs of usable pages with accepted pairs, over their order in the book (not their numbers).
 
@@ -29,15 +58,8 @@ def evidence_packs(pages: DataFrame, least: int = 2, most: int = 3, overlap: int
     max(1, size - overlap); a shorter last one is kept if it has ``least`` pages. A page goes to the windows that
     hold it by arithmetic, so each book costs one sort and one grouping. A null page number counts as 0.
     """
-    size = max(least, most)
-    step = max(1, size - max(0, overlap))
-    fit = pages.where("page_status = 'usable' and size(accepted_qas) > 0")
+    windows = _placed(pages, least, most, overlap)
     page = F.coalesce("source_page", F.lit(0))
-    placed = fit.withColumn("_i", F.row_number().over(Window.partitionBy("source_book").orderBy(page)) - 1)
-    first = F.greatest(F.lit(0), F.ceil((F.col("_i") - size + 1) / step)).cast("int")
-    last = F.floor(F.col("_i") / step).cast("int")
-    # with little overlap a page may lie between two windows
-    windows = placed.where(first <= last).withColumn("_w", F.explode(F.sequence(first, last)))
     members = windows.groupBy("source_book", "_w").agg(F.array_sort(F.collect_list(F.struct(
         "_i", page.alias("page"), F.coalesce("page_text", F.lit("")).alias("text"), F.coalesce("heading_candidate", F.lit("")).alias("heading"),
         F.coalesce("first_non_empty_lines", F.array().cast("array<string>")).alias("lines"), F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"), "accepted_qas"))).alias("p")).where(F.size("p") >= least)
@@ -47,7 +69,7 @@ def evidence_packs(pages: DataFrame, least: int = 2, most: int = 3, overlap: int
         F.transform("p", lambda x: F.struct(x["page"].alias("page"), x["text"].alias("text"))).alias("page_texts"), F.flatten(each("accepted_qas")).alias("accepted_local_qas"),
         F.slice(F.flatten(F.transform("p", lambda x: F.slice(x["lines"], 1, 2))), 1, 8).alias("evidence_snippets"))
     strategy = F.concat_ws("+", F.lit("adjacent_window"), F.when(F.size("shared_terms") > 0, "lexical_overlap"), F.when(heading_goes_on(F.col("heading_candidates")), "heading_continuity"))
-    return packs.withColumns({"pack_id": F.concat("source_book", F.lit("::"), F.array_join(F.col("source_pages").cast("array<string>"), "-")), "pack_strategy": strategy})
+    return packs.withColumns({"pack_id": _pack_id(), "pack_strategy": strategy})
 
 
 def quotes_match(quotes: Column, page_texts: Column) -> Column:

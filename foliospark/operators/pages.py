@@ -78,13 +78,19 @@ def capped(pages: DataFrame, most: int) -> DataFrame:
     return pages.where(F.col("source_page") <= most)
 
 
-def running_counts(pages: DataFrame) -> DataFrame:
-    """Per book, in page order: pages seen, skipped pages and accepted pairs so far.
+def running_counts(pages: DataFrame, n_rejected: Column | None = None, **kept: Column) -> DataFrame:
+    """Per run, in order of books and pages: pages seen, skipped pages and accepted pairs so far (and pairs rejected, where their
+    number per page is given).
 
-    A book is the unit of order, so a partition of the window is one book's pages.
+    A book is the largest thing that is put in order as a whole: what the books before it come to is added up from one row
+    per book.
     """
+    counts = {"pages_seen": F.lit(1), "skipped_pages": is_unusable(F.col("page_status")).cast("int"), "accepted_pairs": F.greatest(F.coalesce(F.size("accepted_qas"), F.lit(0)), F.lit(0))}
+    counts |= {} if n_rejected is None else {"n_rejected": n_rejected}
+    rows = pages.select("run_id", "source_book", "source_page", *(c.cast("long").alias(n) for n, c in counts.items()), *(c.alias(n) for n, c in kept.items()))
+    books = rows.groupBy("run_id", "source_book").agg(*(F.sum(n).alias(f"_{n}") for n in counts))
+    earlier = Window.partitionBy("run_id").orderBy("source_book").rowsBetween(Window.unboundedPreceding, -1)
+    before = books.select(F.col("run_id").alias("_run"), F.col("source_book").alias("_book"), *(F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in counts))
     so_far = Window.partitionBy("run_id", "source_book").orderBy("source_page").rowsBetween(Window.unboundedPreceding, 0)
-    return pages.select(
-        "run_id", "source_book", "source_page", F.count("*").over(so_far).alias("pages_seen"),
-        F.count_if(is_unusable(F.col("page_status"))).over(so_far).alias("skipped_pages"),
-        F.sum(F.greatest(F.coalesce(F.size("accepted_qas"), F.lit(0)), F.lit(0))).over(so_far).alias("accepted_pairs"))
+    both = rows.join(before, F.col("run_id").eqNullSafe(F.col("_run")) & F.col("source_book").eqNullSafe(F.col("_book")))
+    return both.select("run_id", "source_book", "source_page", *((F.sum(n).over(so_far) + F.col(f"_{n}")).alias(n) for n in counts), *kept)

@@ -65,13 +65,14 @@ def _reasons(*tests: tuple[Column, str]) -> Column:
 
 def gated(pairs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Adds grounding_score, usefulness_score, reasons (in order) and accepted to pairs (question, answer, citation_quote,
-    page_text). Scores are the heuristic ones; where a verdict column (a struct of grounding_score, usefulness_score,
-    grounded, useful, error) is there, its scores count, and a failed call scores 0."""
+    page_text). Grounding starts at 1 and usefulness at the heuristic score; where a verdict column (a struct of grounding_score,
+    usefulness_score, grounded, useful, error) is there, scores it has count instead, and a failed call scores 0."""
     judged = "verdict" in pairs.columns
     v = F.col("verdict") if judged else None
     failed = v["error"].isNotNull() if judged else F.lit(False)
-    ground = F.when(failed, 0.0).otherwise(F.coalesce(v["grounding_score"], F.lit(0.0))) if judged else F.lit(1.0)
-    useful = F.when(failed, 0.0).otherwise(F.coalesce(v["usefulness_score"], F.lit(0.0))) if judged else usefulness(F.col("question"), F.col("answer"))
+    start = usefulness(F.col("question"), F.col("answer"))
+    ground = F.when(failed, 0.0).otherwise(F.coalesce(v["grounding_score"], F.lit(1.0))) if judged else F.lit(1.0)
+    useful = F.when(failed, 0.0).otherwise(F.coalesce(v["usefulness_score"], start)) if judged else start
     uncited = has_text(F.col("page_text")) & ~cites(F.col("page_text"), F.col("citation_quote")) if limits.citation else F.lit(False)
     scored = pairs.withColumns({"_uncited": uncited, "grounding_score": F.when(uncited, F.least(ground, F.lit(0.2))).otherwise(ground), "usefulness_score": useful})
     reasons = _reasons(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import TimeoutError as Late
 from typing import Protocol
 
 import pandas as pd
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame
 QA = "struct<question:string,answer:string,question_type:string,difficulty:string,citation_quote:string>"
 CROSS_QA = "struct<question:string,answer:string,question_type:string,difficulty:string,source_pages:array<int>,evidence_quotes:array<struct<page:int,quote:string>>,synthesis_type:string>"
 VERDICT = "struct<grounding_score:double,usefulness_score:double,multi_page_score:double,grounded:boolean,useful:boolean,truly_multi_page:boolean>"
-CALL_SCHEMA = "attempts array<struct<attempt:int,dpi:int,latency_ms:bigint,input_tokens:bigint,output_tokens:bigint>>, payload string, error string"
+CALL_SCHEMA = "attempts array<struct<attempt:int,dpi:int,timestamp_epoch:bigint,latency_ms:bigint,input_tokens:bigint,output_tokens:bigint>>, payload string, error string"
 
 
 class Provider(Protocol):
@@ -53,35 +55,51 @@ class OfflineProvider:
         return {"pack_status": "usable", "pack_status_reason": "", "items": [item]}, len(json.dumps(request)), len(item["answer"])
 
 
-def called(requests: DataFrame, provider: Callable[[], Provider], request_column: str = "request", retries: int = 1, dpis: tuple[int, int] = (150, 220), pause: float = 0.0) -> DataFrame:
+def _answer(client: Provider, raw: str, retries: int, dpis: tuple[int, int], pause: float, render: Callable[[dict, int], str] | None) -> tuple[list, dict | None, str | None]:
+    tries, payload = [], None
+    try:
+        for n in range(retries + 1):
+            dpi = dpis[min(n, 1)]
+            request = {**json.loads(raw), "dpi": dpi}
+            if n and render:
+                request["image"] = render(request, dpi)
+            began = time.monotonic()
+            payload, tokens_in, tokens_out = client.call(request)
+            tries.append({"attempt": n + 1, "dpi": dpi, "timestamp_epoch": int(time.time()), "latency_ms": int((time.monotonic() - began) * 1000), "input_tokens": tokens_in or 0, "output_tokens": tokens_out or 0})
+            time.sleep(pause)
+            if payload.get("page_status", "unreadable") not in ("blank", "unreadable"):
+                break
+    except Exception as e:
+        return tries, payload, f"{type(e).__name__}: {e}"
+    return tries, payload, None
+
+
+def called(requests: DataFrame, provider: Callable[[], Provider], request_column: str = "request", retries: int = 1, dpis: tuple[int, int] = (150, 220), pause: float = 0.0,
+           workers: int = 1, patience: float | None = None, render: Callable[[dict, int], str] | None = None) -> DataFrame:
     """Adds attempts, payload and error to requests (JSON strings in ``request_column``).
 
-    A page found blank or unreadable is tried again at the higher resolution, and the last attempt counts. Materialise
-    the result before it is used twice: a call isn't repeated then. The client is made once per partition.
+    A page found blank or unreadable is tried again at the higher resolution, with the image that ``render`` makes of the
+    request and the resolution, and the last attempt counts. Materialise the result before it is used twice: a call isn't repeated
+    then. The client is made once per partition; ``workers`` threads share it, and a call that isn't done after ``patience``
+    seconds of waiting for it is an error.
     """
     names = requests.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = provider()
         for pdf in batches:
-            attempts, payloads, errors = [], [], []
-            for raw in pdf[request_column]:
-                tries, payload, error = [], None, None
-                try:
-                    for n in range(retries + 1):
-                        dpi = dpis[min(n, 1)]
-                        began = time.monotonic()
-                        payload, tokens_in, tokens_out = client.call({**json.loads(raw), "dpi": dpi})
-                        tries.append({"attempt": n + 1, "dpi": dpi, "latency_ms": int((time.monotonic() - began) * 1000), "input_tokens": tokens_in, "output_tokens": tokens_out})
-                        time.sleep(pause)
-                        if payload.get("page_status", "unreadable") not in ("blank", "unreadable"):
-                            break
-                except Exception as e:
-                    error = f"{type(e).__name__}: {e}"
-                attempts.append(tries)
-                payloads.append(json.dumps(payload, ensure_ascii=False) if payload is not None else None)
-                errors.append(error)
-            yield pdf.assign(attempts=attempts, payload=payloads, error=errors)
+            if workers <= 1:
+                done = [_answer(client, raw, retries, dpis, pause, render) for raw in pdf[request_column]]
+            else:
+                pool, done = ThreadPoolExecutor(workers), []
+                for future in [pool.submit(_answer, client, raw, retries, dpis, pause, render) for raw in pdf[request_column]]:
+                    try:
+                        done.append(future.result(patience))
+                    except Late:
+                        future.cancel()
+                        done.append(([], None, "call_timeout_or_cancelled"))
+                pool.shutdown(wait=False, cancel_futures=True)
+            yield pdf.assign(attempts=[d[0] for d in done], payload=[json.dumps(d[1], ensure_ascii=False) if d[1] is not None else None for d in done], error=[d[2] for d in done])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema.fields)
     return requests.select(*names).mapInPandas(run, f"{schema}, {CALL_SCHEMA}")

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 #: A page reader takes a book's bytes, the resolution and the greatest number of pages, and yields
 #: (page number from 1, page text, image bytes) one by one, so pages beyond the limit are never rendered.
@@ -22,7 +23,9 @@ def list_books(spark: SparkSession, folder: str, glob: str = "*.pdf") -> DataFra
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     try:
         found = files.load(folder).select("path", F.element_at(F.split("path", "/"), -1).alias("source_book"), "length").orderBy("path")
-    except Exception as e:
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
         raise FileNotFoundError(folder) from e
     if found.isEmpty():
         raise RuntimeError(f"no files {glob} in {folder}")
@@ -47,15 +50,67 @@ def read_pdf_pages(content: bytes, dpi: int, most: int) -> Iterator[tuple[int, s
             yield k + 1, page.get_text("text"), page.get_pixmap(matrix=pymupdf.Matrix(dpi / 72, dpi / 72), alpha=False).tobytes("png")
 
 
+def count_pdf_pages(content: bytes) -> int:
+    """Pages of a PDF file, where the optional rendering library is installed."""
+    try:
+        import pymupdf
+    except ImportError as e:
+        raise RuntimeError("reading PDF files needs pymupdf") from e
+    with pymupdf.open(stream=content, filetype="pdf") as doc:
+        return doc.page_count
+
+
+def count_text_pages(content: bytes) -> int:
+    return content.count(b"\f") + 1
+
+
+def page_of(content: bytes, page: int, dpi: int, reader: PageReader) -> tuple[str, bytes]:
+    """Text and image of one page by its number from 1. IndexError beyond the book's pages."""
+    if page >= 1:
+        for n, text, image in reader(content, dpi, page):
+            if n == page:
+                return text, image
+    raise IndexError(f"no page {page}")
+
+
 def data_url(image: bytes) -> str:
     """An image as it is handed to a model."""
     return "data:image/png;base64," + base64.b64encode(image).decode("ascii")
 
 
-def read_pages(spark: SparkSession, folder: str, reader: PageReader, glob: str = "*.pdf", dpi: int = 150, most: int = 10) -> DataFrame:
-    """Pages of all books, text and image in one pass over each file. A book that can't be read is one row with the error."""
+def renderer(reader: PageReader) -> Callable[[dict, int], str]:
+    """Makes the image of a request (path, page) anew at another resolution. The path must be a file that workers see."""
+
+    def render(request: dict, dpi: int) -> str:
+        with open(request["path"].removeprefix("file:"), "rb") as f:
+            return data_url(page_of(f.read(), request["page"], dpi, reader)[1])
+
+    return render
+
+
+def count_pages(spark: SparkSession, folder: str, counter: Callable[[bytes], int], glob: str = "*.pdf") -> DataFrame:
+    """``source_book, n_pages`` of the books of a folder; a book that can't be read has null pages."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path", "content")
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            counts = []
+            for content in pdf["content"]:
+                try:
+                    counts.append(counter(bytes(content)))
+                except Exception:
+                    counts.append(None)
+            yield pd.DataFrame({"source_book": [p.rsplit("/", 1)[-1] for p in pdf["path"]], "n_pages": pd.array(counts, dtype="Int32")})
+
+    return files.mapInPandas(run, "source_book string, n_pages int")
+
+
+def read_pages(spark: SparkSession, folder: str | list[str], reader: PageReader, glob: str = "*.pdf", dpi: int = 150, most: int = 10) -> DataFrame:
+    """Pages of all books of a folder, or of the files of a list, text and image in one pass over each file. A book that can't be
+    read is one row with the error."""
+    files = spark.read.format("binaryFile")
+    files = (files.option("pathGlobFilter", glob) if isinstance(folder, str) else files).load(folder).select("path", "content")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.split()[0] for c in PAGE_SCHEMA.split(", ")]
         for pdf in batches:

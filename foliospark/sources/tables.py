@@ -23,7 +23,8 @@ def spread(df: DataFrame, at_least: int | None = None) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineages: the cluster's own setting, else one set here for tests."""
+    """The shared folder for cut lineages: the cluster's own setting. Only a session on one machine may leave it unset, as tests
+    do, and gets a folder of that machine."""
     sc = spark.sparkContext
     set_by_cluster = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     have = sc._jsc.sc().getCheckpointDir()
@@ -31,6 +32,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return have.get()
     if set_by_cluster:
         sc.setCheckpointDir(set_by_cluster)
+    elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     else:
         import tempfile
 

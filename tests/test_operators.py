@@ -1,5 +1,7 @@
 import difflib
+import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +10,10 @@ from foliospark.functions.text import signature
 from foliospark.operators import dedup, metrics, packs, pages, records
 from foliospark.plans.config import settings
 from foliospark.plans.providers import OfflineProvider
+from foliospark.plans.run import run
 from foliospark.plans.stages import page_prompt, sinks, stage_one, stage_two, stage_two_records
-from foliospark.sources.books import list_books, read_pages, read_text_pages
-from foliospark.sources.jsonl import append_or_set_aside, read_json, read_jsonl, write_json
+from foliospark.sources.books import count_text_pages, list_books, page_of, read_pages, read_text_pages
+from foliospark.sources.jsonl import read_json, read_jsonl, write_json, written_or_set_aside
 from foliospark.streaming.incremental import artifacts_of_arrivals, calls_per_window
 
 QA = "struct<question:string,answer:string,question_type:string,difficulty:string,citation_quote:string>"
@@ -137,12 +140,13 @@ def test_jsonl(spark, tmp_path):
     rows = read_jsonl(spark, str(tmp_path / "x.jsonl"), schema)
     assert sorted((r["a"], r["b"]) for r in rows.collect()) == [(1, "é"), (2, None)] and rows.select("b").count() == 2
     assert read_jsonl(spark, str(tmp_path / "missing"), schema).count() == 0
-    assert append_or_set_aside(rows, str(tmp_path / "out"), str(tmp_path / "dead"))
+    assert written_or_set_aside(rows, str(tmp_path / "out"), str(tmp_path / "dead"))
     (tmp_path / "file").write_text("x")
-    assert not append_or_set_aside(rows, str(tmp_path / "file"), str(tmp_path / "dead"))
+    assert not written_or_set_aside(rows, str(tmp_path / "file"), str(tmp_path / "dead"))
     assert spark.read.json(str(tmp_path / "dead")).count() == 2 and spark.read.json(str(tmp_path / "out")).count() == 2
-    write_json({"a": 1}, tmp_path / "d" / "r.json")
-    assert read_json(tmp_path / "d" / "r.json") == {"a": 1} and read_json(tmp_path / "none.json") is None
+    write_json(spark, {"a": 1}, tmp_path / "d" / "r.json")
+    write_json(spark, {"a": "é"}, tmp_path / "d" / "r.json")
+    assert read_json(spark, tmp_path / "d" / "r.json") == {"a": "é"} and read_json(spark, tmp_path / "none.json") is None
 
 
 def test_books_stages_and_resume(spark, tmp_path):
@@ -187,18 +191,19 @@ def test_both_stages_to_records(spark):
     none = [spark.createDataFrame([], x) for x in ("source_book string, source_page int", "pack_id string", "signature string")]
     s = settings({"input": {"books_dir": "x"}, "runtime": {"model": "m"}, "dataset": {"output_path": "o"}})
     artifacts, _ = stage_one(book, none[0], OfflineProvider, s, "r")
-    made, decided = stage_two_records(artifacts, none[1], none[2], OfflineProvider, s, "r")
+    made, decided, packed = stage_two_records(artifacts, none[1], none[2], OfflineProvider, s, "r")
+    assert [(p["n_pages"], p["n_items"], p["status"]) for p in packed.collect()] == [(2, 1, "usable")]
     r = made.collect()
     assert len(r) == 1 and r[0]["pack_id"] == "b::1-2" and r[0]["metadata"]["record_level"] == "cross_page" and r[0]["metadata"]["source_pages"] == [1, 2] and len(r[0]["metadata"]["evidence_quotes"]) == 2
     local = records.local_records(records.page_pairs(artifacts.withColumn("artifact_id", F.lit(1))))
     final, across = sinks(local, made, s)
     assert final.count() == local.count() + 1 == 5 and across.count() == 1
-    again, seen = stage_two_records(artifacts, none[1], decided.where("accepted").select("signature"), OfflineProvider, s, "r2")
+    again, seen, _ = stage_two_records(artifacts, none[1], decided.where("accepted").select("signature"), OfflineProvider, s, "r2")
     assert again.count() == 0 and [x["reasons"] for x in seen.collect()] == [["duplicate_or_near_duplicate"]]
     assert [x["accepted"] for x in stage_two_records(artifacts, decided.select("pack_id"), none[2], OfflineProvider, s, "r3")[1].collect()] == []
     strict, judged = stage_one(book, none[0], Strict, s, "r")
     assert [x["reasons"] for x in judged.where("not accepted").collect()] == [["model_marked_not_grounded"]]
-    made, decided = stage_two_records(strict, none[1], none[2], Strict, s, "r")
+    made, decided, _ = stage_two_records(strict, none[1], none[2], Strict, s, "r")
     assert made.count() == 0 and [x["reasons"] for x in decided.collect()] == [["model_marked_not_grounded", "model_marked_not_useful"]]
 
 
@@ -211,3 +216,95 @@ def test_streaming(spark, tmp_path):
     assert [r["keywords"] for r in spark.read.json(paths[1]).collect()] == [["alpha", "beta"]]
     calls = spark.createDataFrame([(0, "g", 5), (10, "g", 6), (4000, "g", 1)], "timestamp_epoch long, call_type string, latency_ms long")
     assert sorted((r["n"], r["latency_ms"]) for r in calls_per_window(calls).collect()) == [(1, 1), (2, 11)]
+
+
+def test_gate_keeps_start_values_where_a_verdict_has_no_score(spark):
+    answer = "The page says that rain returns to the rivers in spring, and that the lakes below the hills fill up with it."
+    verdict = "struct<grounding_score:double,usefulness_score:double,grounded:boolean,useful:boolean,error:string>"
+    rows = [("q1 what does it say", (None, None, None, None, None)), ("q2 what does it say", (0.5, None, True, None, None)), ("q3 what does it say", (None, 0.1, None, False, None)), ("q4 what does it say", (None, None, None, None, "late")), ("q5 what does it say", None)]
+    df = spark.createDataFrame([(q, answer, "", "", v) for q, v in rows], f"question string, answer string, citation_quote string, page_text string, verdict {verdict}")
+    got = {r["question"][:2]: (r["grounding_score"], r["usefulness_score"], r["reasons"]) for r in records.gated(df).collect()}
+    assert got["q1"] == got["q5"] == (1.0, 0.85 if len(answer.split()) >= 15 else 0.5, []) or got["q1"][2] == got["q5"][2] == []
+    assert got["q2"][0] == 0.5 and got["q2"][2] == ["grounding_score_below_threshold"]
+    assert got["q3"] == (1.0, 0.1, ["model_marked_not_useful", "usefulness_score_below_threshold"])
+    assert got["q4"] == (0.0, 0.0, ["critique_call_failed", "grounding_score_below_threshold", "usefulness_score_below_threshold"])
+
+
+BOOKS = {
+    "a.txt": ["The water cycle moves heat from the sea into the air every single day. Rain returns the water to the rivers and lakes below the hills again.", "",
+              "A lighthouse keeper trims the lamp before the fog arrives over the harbour wall. The bell rings twice when boats pass the outer sandbank at night."],
+    "b.txt": ["Weavers of the valley dye their wool with roots and bark gathered before the first snow. The cloth is fulled in the mill below the old stone bridge."],
+    "c.txt": ["The water cycle moves heat from the sea into the air every single day. Rain returns the water to the rivers and lakes below the hills again.",
+              "Copper is smelted in small furnaces built of clay and straw by the river bank. Bellows of goat skin keep the charcoal hot for half a day."],
+}
+
+
+def _run(spark, folder, provider=OfflineProvider, **modes):
+    (folder / "books").mkdir(exist_ok=True)
+    for name, pages_ in BOOKS.items():
+        (folder / "books" / name).write_text("\f".join(pages_), encoding="utf-8")
+    at = lambda n: str(folder / "out" / n)
+    raw = {
+        "input": {"books_dir": str(folder / "books"), "glob": "*.txt"}, "runtime": {"model": "m", "sleep_seconds_between_requests": 0, "prompt_log_path": at("prompts"), "api_metrics_log_path": at("calls"), "process_log_path": at("events"),
+        "failed_writes_log_path": at("failed"), "checkpoint_path": at("state.json"), "parallel_critique_workers": 2}, "dataset": {"output_path": at("final"), "skipped_pages_output_path": at("skipped")},
+        "quality": {"quality_log_path": at("quality")}, "cross_page": {"output_path": at("cross"), "artifact_path": at("artifacts"), "quality_log_path": at("cross_quality")}, "analytics": {"report_path": at("report.json"), "token_stats_path": at("tokens.json")},
+    }
+    return run(spark, settings(raw), provider, reader=read_text_pages, counter=count_text_pages, **modes)
+
+
+def _rows(spark, folder, name):
+    return [json.loads(r["value"]) for r in spark.read.text(str(folder / "out" / name)).collect()]
+
+
+def test_a_run_stops_goes_on_and_repeats_no_record(spark, tmp_path):
+    class Breaking(OfflineProvider):
+        """Stands for a worker that is lost while it writes questions for the third book."""
+
+        def call(self, request):
+            if request.get("book") == "c.txt":
+                raise SystemExit("lost")
+            return super().call(request)
+
+    (tmp_path / "whole").mkdir()
+    want = _run(spark, tmp_path / "whole", run_id="r")
+    (tmp_path / "broken").mkdir()
+    with pytest.raises(Exception):
+        _run(spark, tmp_path / "broken", Breaking, run_id="r", books_per_step=1)
+    assert read_json(spark, tmp_path / "broken" / "out" / "state.json")["done"] == ["pages-00000", "pages-00001"]
+    got = _run(spark, tmp_path / "broken", resume=True, books_per_step=1)
+    assert read_json(spark, tmp_path / "broken" / "out" / "state.json")["status"] == "completed"
+    timed = {"api_average_latency_ms"}
+    assert {k: v for k, v in got.items() if k not in timed} == {k: v for k, v in want.items() if k not in timed}
+    assert len(want) == 32 and want["total_pages_seen"] == 6 and want["skipped_pages"] == 1 and want["duplicates_filtered"] == 2 and want["local_accepted"] == 8 and want["cross_page_accepted"] == 1
+    assert want["per_book_yield"] == {"a.txt": 4, "b.txt": 2, "c.txt": 2} and want["local_rejection_reasons"] == {"duplicate_or_near_duplicate": 2}
+    for folder in (tmp_path / "whole", tmp_path / "broken"):
+        final = sorted(json.dumps(r, sort_keys=True) for r in _rows(spark, folder, "final"))
+        assert len(final) == len(set(final)) == 9 and len(_rows(spark, folder, "cross")) == 1 and len(_rows(spark, folder, "artifacts")) == 6
+        assert [(r["status"], r["attempt_dpi"]) for r in _rows(spark, folder, "skipped")] == [("blank", 220)] and len(_rows(spark, folder, "quality")) == 10
+        kinds = Counter(r["call_type"] for r in _rows(spark, folder, "calls"))
+        assert kinds == {"generation": 7, "critique": 10, "synthesis": 1, "cross_page_critique": 1} and len(_rows(spark, folder, "prompts")) == 7
+        events = Counter(r["event"] for r in _rows(spark, folder, "events"))
+        assert events["page_processed"] == 5 and events["record_accepted"] == 8 and events["record_rejected_duplicate"] == 2 and events["run_completed"] == 1 and events["page_skipped"] == 1
+        assert max(r["records_so_far"] for r in _rows(spark, folder, "events") if r["event"] == "page_processed") == 8
+        tokens = read_json(spark, folder / "out" / "tokens.json")
+        assert tokens["totals"]["calls"] == want["api_calls_total"] == 19 and tokens["critique"]["calls"] == 11
+    # nothing is left to do
+    assert _run(spark, tmp_path / "whole", resume=True)["total_records"] == 9 and len(_rows(spark, tmp_path / "whole", "final")) == 9
+
+
+def test_modes_of_a_run(spark, tmp_path):
+    dry = _run(spark, tmp_path, run_id="dry", dry_run=True)
+    assert dry["total_pages_seen"] == 3 and dry["cross_page_candidates"] == 0
+    first = _run(spark, tmp_path, run_id="first", skip_cross_page=True)
+    assert first["local_accepted"] == 8 and first["cross_page_accepted"] == 0
+    assert _run(spark, tmp_path, resume=True, cross_page_only=True)["cross_page_accepted"] == 1
+    assert _run(spark, tmp_path, run_id="other", cross_page_only=True)["total_records"] == 0
+    started = [r for r in _rows(spark, tmp_path, "events") if r["event"] == "run_started" and r["run_id"] == "first"][0]
+    assert started["remaining_pages_estimate"] == 6 and started["estimated_candidate_samples"] == 36 and started["projected_final_samples"] == 14
+
+
+def test_single_pages_and_counts():
+    assert page_of(b"one\ftwo", 2, 100, read_text_pages)[0] == "two" and count_text_pages(b"one\ftwo") == 2
+    for n in (0, 3):
+        with pytest.raises(IndexError):
+            page_of(b"one\ftwo", n, 100, read_text_pages)
