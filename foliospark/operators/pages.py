@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,18 +26,18 @@ def keyword_text(page_text: Column, qas: Column) -> Column:
 
 
 def with_top_terms(df: DataFrame, found: Column, name: str = "keywords", n: int = 20) -> DataFrame:
-    """Adds the ``n`` most frequent entries of an array, ties by first appearance, without leaving the row.
+    """Adds the ``n`` most frequent entries of an array, ties by first appearance, without leaving the row. Null gives none.
 
-    In the sorted array a term's copies lie side by side, so its count is the distance to the next term. The arrays
-    are columns of their own first: inside a lambda they would be computed for every element.
+    Built-in functions on arrays would search the array anew for each entry, which is quadratic in a page; a count by
+    hashing is one pass, over batches of arrays.
     """
-    t, s, d, p = (F.col(f"_{name}_{k}") for k in "tsdp")
-    made = df.withColumn(f"_{name}_t", found).withColumn(f"_{name}_s", F.sort_array(t)).withColumn(f"_{name}_d", F.array_distinct(s))
-    made = made.withColumn(f"_{name}_p", F.transform(d, lambda x: F.array_position(s, x)))
-    count = lambda k: F.coalesce(F.get(p, k + 1), F.size(s) + 1) - F.get(p, k)
-    counted = F.transform(d, lambda x, k: F.struct((-count(k)).alias("n"), F.array_position(t, x).alias("first"), x.alias("term")))
-    ranked = made.withColumn(name, F.transform(F.slice(F.sort_array(counted), 1, n), lambda x: x["term"]))
-    return ranked.drop(*(f"_{name}_{k}" for k in "tsdp"))
+
+    @F.pandas_udf("array<string>")
+    def top(arrays: pd.Series) -> pd.Series:
+        # most_common is stable, and a Counter keeps the order of first appearance
+        return pd.Series([[term for term, _ in Counter(x).most_common(n)] if x is not None else [] for x in arrays], dtype=object)
+
+    return df.withColumn(name, top(found))
 
 
 def question_types(qas: Column) -> Column:
