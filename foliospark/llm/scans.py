@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +26,9 @@ LABELS = ["header", "number", "opening", "table", "body"]
 SHAPES = ["number", "row", "chapter", "caps", "title", "stamped", "prose"]
 #: Pages that the model is fitted on at most (the least hashes of all pages), and rounds of training.
 SAMPLE_PAGES, ROUNDS = 1000, 3
-#: A word belongs to the vocabulary if it makes up this share of all words, which bounds it to 2 million words,
-#: and occurs so often at least.
-WORD_SHARE, WORD_LEAST = 5e-7, 4
+#: A word that makes up less than this share of the words of all different texts isn't known, which bounds the vocabulary to 10
+#: million words (120 MB); one that is meant must occur so often at least.
+WORD_SHARE, WORD_LEAST = 1e-7, 4
 #: How many times more frequent than a word its reading must be for the word to be a misreading of it.
 MORE = 8
 
@@ -219,11 +220,25 @@ def _readings(word: str, table: list[tuple[str, str]]) -> Iterator[tuple[str, in
             at = word.find(wrong, at + 1)
 
 
+class Counts:
+    """How often words occur, by the words' hashes in order: 12 bytes a word."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.counts = hashes[order], np.minimum(counts[order], 2**32 - 1).astype(np.uint32)
+
+    def get(self, word: str, default: int = 0) -> int:
+        h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed=42)  # as Spark hashes
+        h = h - (1 << 64) if h >> 63 else h
+        k = int(np.searchsorted(self.hashes, h))
+        return int(self.counts[k]) if k < len(self.hashes) and self.hashes[k] == h else default
+
+
 class Reader:
     """Judges words against the vocabulary (word -> count)."""
 
-    def __init__(self, vocabulary: dict[str, int]):
-        self.words = vocabulary
+    def __init__(self, vocabulary: dict[str, int] | Counts):
+        self.words, self.known = vocabulary, {}
         self.judge = lru_cache(maxsize=200_000)(self._judge)
         self.token = lru_cache(maxsize=400_000)(self._token)
 
@@ -237,7 +252,12 @@ class Reader:
         return (hit[0], hit[1] + lead) if hit else None
 
     def count(self, word: str) -> int:
-        return self.words.get(word, 0)
+        n = self.known.get(word)
+        if n is None:
+            if len(self.known) > 1_000_000:
+                self.known.clear()
+            n = self.known[word] = self.words.get(word, 0)
+        return n
 
     def _judge(self, word: str) -> tuple[str, int] | None:
         """The word meant and the place of the first misread letter, or None for a sound word. In lower case."""
@@ -401,15 +421,19 @@ def _words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(rf"(?<![\p{{L}}\d@†|~!\x{{ad}}-])\p{{L}}+(?:-\p{{L}}+)*(?![\p{{L}}\d@†|~]|[{HYPHENS}] ?\r?\n|!\p{{L}})"), F.lit(0))
 
 
-def vocabulary(pages: DataFrame) -> dict[str, int]:
-    """Counts of words over all page texts and accepted pairs, cut at a share of all words, so that it has at most
-    1 / WORD_SHARE entries whatever the collection's size."""
+def vocabulary(pages: DataFrame) -> Counts:
+    """Counts of words over all different page texts and accepted pairs: copies of a text count once, so that they don't make
+    their misread words known. Cut at a share of all words, so that it has at most 1 / WORD_SHARE entries whatever the collection's
+    size."""
     pairs = F.array_join(F.transform(F.col("accepted_qas"), lambda q: F.concat_ws(" ", q["question"], q["answer"])), "\n")
-    words = pages.select(F.explode(_words_of(F.concat_ws("\n", "page_text", pairs))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    words = cut(words)  # read twice: for the sum and for the frequent ones
+    texts = pages.select(F.concat_ws("\n", "page_text", pairs).alias("text"))
+    # a text is named by 128 bits, and its words are counted where it lies first
+    once = texts.withColumn("_key", F.md5("text")).dropDuplicates(["_key"])
+    words = once.select(F.explode(_words_of(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    words = cut(words.select(F.xxhash64("word").alias("h"), "n").where("n > 1"))  # read twice: for the sum and for the frequent ones
     total = words.agg(F.sum("n")).first()[0] or 0
-    kept = words.where(F.col("n") >= max(2, math.ceil(WORD_SHARE * total)))
-    return {r["word"]: r["n"] for r in kept.toLocalIterator()}
+    kept = words.where(F.col("n") >= max(2, math.ceil(WORD_SHARE * total))).toPandas()
+    return Counts(kept["h"].to_numpy(dtype=np.int64), kept["n"].to_numpy(dtype=np.int64))
 
 
 def fitted_model(pages: DataFrame, sample: int = SAMPLE_PAGES) -> LineModel:
@@ -426,10 +450,10 @@ def usable(pages: DataFrame) -> DataFrame:
 
 def noisy_lines(pages: DataFrame) -> DataFrame:
     """``(artifact_id, line_no, noise)`` of usable pages; repeated rows count once."""
-    model, words = fitted_model(usable(pages)), vocabulary(pages)
+    model, words = fitted_model(usable(pages)), pages.sparkSession.sparkContext.broadcast(vocabulary(pages))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(words)
+        reader = Reader(words.value)
         for pdf in batches:
             out = [(a, n, kind) for a, b, t in zip(pdf["artifact_id"], pdf["source_book"], pdf["page_text"]) for n, kind in read_page(t, model, reader, book_title(b))[0]]
             yield pd.DataFrame(out, columns=["artifact_id", "line_no", "noise"])
@@ -439,10 +463,10 @@ def noisy_lines(pages: DataFrame) -> DataFrame:
 
 def continuous_text(pages: DataFrame) -> DataFrame:
     """``(artifact_id, text)``: the repaired text of every usable page."""
-    model, words = fitted_model(usable(pages)), vocabulary(pages)
+    model, words = fitted_model(usable(pages)), pages.sparkSession.sparkContext.broadcast(vocabulary(pages))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(words)
+        reader = Reader(words.value)
         for pdf in batches:
             yield pd.DataFrame({"artifact_id": pdf["artifact_id"], "text": [read_page(t, model, reader, book_title(b))[1] for b, t in zip(pdf["source_book"], pdf["page_text"])]})
 
