@@ -1,10 +1,10 @@
 """Personal data in free text: found by anchors, expanded and validated by local parsers, replaced by placeholders.
 
-An Aho-Corasick automaton finds at-signs (also spelt out), street words and identifier cues; a
-parser per kind reads the text around each anchor and decides where the item begins and ends. Numbers are
-read as whole runs and told apart by form and by the cue before them. Names are read from given names:
-the listed ones, and those learned from the collection, where the same capitalised word stands with
-many different surnames.
+An Aho-Corasick automaton finds at-signs (also spelt out), street words, and the cues and schemes of telephone and
+identity numbers; a parser per kind reads the text around each anchor and decides where the item begins and ends. Runs of
+digits are anchors too: numbers are read whole and told apart by form, by check digits and by the cues around them. Names
+are read from given names: the listed ones, and those learned from the collection, where the same capitalised word
+stands with many different surnames.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ DOT = r"(?:\.|\s?[\[({]\s?(?:dot|punkt|point|punto)\s?[\])}]\s?|\s(?:dot|punkt|p
 STREETS_EN = "Street St Road Rd Lane Ln Avenue Ave Close Row Quay Way Drive Dr Court Ct Place Pl Square Sq Terrace Crescent Gardens Grove Hill Walk Mews Yard Gate Boulevard Blvd Parade Rise View Wharf Alley Park Green Bridge".split()
 STREETS_FR = "rue impasse avenue quai allée allee place chemin boulevard cours passage ruelle sentier route square faubourg venelle esplanade rond-point montée".split()
 STREETS_ES = "Calle C/ Plaza Avenida Avda Av Camino Paseo Ronda Travesía Callejón Cuesta Carretera Plazuela Glorieta Rambla Vía Costanilla Pasaje Alameda".split()
+STREETS_IT = "Via Viale Piazza Piazzale Corso Vicolo Largo".split()
 STREETS_DE = "straße strasse str. weg gasse platz allee ufer damm ring steig pfad markt hof chaussee graben brücke wall stieg zeile twiete".split()
 #: Words that make a capitalised pair a place or an institution.
 PLACES = set(
@@ -56,13 +57,13 @@ LEADING = LEADING_SMALL | set("lake mount river institute archive foundation sch
 TITLES = set("dr mr mrs ms miss mx prof professor sir lady dame rev herr frau fräulein doktor m mme mlle monsieur madame mademoiselle maître señor señora señorita sr sra srta don doña profesor profesora doctor doctora la el tutor contact".split())
 #: What stands before the number of a paper, an insured person or a tax payer.
 IDENTITY_CUES = (
-    r"(?:passport|identity|identification|\bid\b|\bcard\b|tax\b|taxpayer|insurance|social security|licen[cs]e|\bssn\b|\bnino?\b|reader gave|"
+    r"(?:passport|identity|identification|\bid\b|\bcard\b|tax\b|taxpayer|insurance|social security|licen[cs]e|\bssn\b|\bnino?\b|"
     r"ausweis|personalausweis|reisepass|steuer|versicherung|versicherten|kennnummer|identifikation|"
     r"assuré|sécurité sociale|carte d'identité|passeport|fiscal|fiscale|numéro d'|\bnir\b|"
     r"documento|\bdni\b|\bnie\b|\bnif\b|pasaporte|identidad|seguridad social|contribuyente|afiliad)"
 )
 #: What stands before numbers that belong to nobody.
-OTHER_CUES = r"\b(?:isbn|issn|order|shelf ?mark|mark|qv|signatur|cote|signatura|invoice|bestellung|commande|pedido|batch|rechnung|facture|factura|pages?|seiten?|lies at)(?: (?:number|no\.?|nr\.?|nummer|numéro|número|n\.º|n°))?[\s:#-]{0,3}$"
+OTHER_CUES = r"\b(?:isbn|issn|order|shelf ?mark|mark|qv|signatur|cote|signatura|invoice|bestellung|commande|pedido|batch|rechnung|facture|factura|pages?|seiten?)(?: (?:number|no\.?|nr\.?|nummer|numéro|número|n\.º|n°))?[\s:#-]{0,3}$"
 
 _CAP = r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:['’][A-ZÀ-Þa-zß-ÿ]+)?"
 _UPP = r"[A-ZÀ-ÖØ-Þ]{3,}"
@@ -85,6 +86,16 @@ _IDENTITIES = [
     (re.compile(r"(?<![\w-])\d(?:[\d  /-]{5,20})\d(?:[ -]?[A-Z])?(?!\w)"), False),
 ]
 _CUE = re.compile(IDENTITY_CUES, re.IGNORECASE)
+#: A cue after the number: ``123 as identity number``.
+_CUE_AFTER = re.compile(rf"\s?(?:,\s)?(?:as|is|was|als|ist|war|comme|est|como|es|fue)\s[^.!?;\n\d]{{0,25}}?{IDENTITY_CUES}", re.IGNORECASE)
+#: Cues as the automaton finds them, in small letters.
+IDENTITY_ANCHORS = (
+    "passport", "identity", "identification", "tax", "insurance", "social security", "licence", "license", "ssn", "ausweis", "reisepass", "steuer", "versicherung", "assuré", "sécurité sociale", "passeport",
+    "fiscal", "documento", "dni", "nie", "nif", "pasaporte", "identidad", "seguridad social", "contribuyente", "afiliad", "codice fiscale", "passaporto",
+)
+PHONE_ANCHORS = ("tel:", "tel.", "phone", "telefon", "téléphone", "teléfono", "telefono", "mobile", "mobil", "handy", "móvil", "fax", "call ", "ring ", "llam", "appel", "erreich")
+#: Numbers of papers that mix letters and digits.
+_MIXED = re.compile(r"(?<![\w@./-])(?=(?:[A-Z -]*\d){5})(?=[\d -]*[A-Z])[A-Z0-9](?:[ -]?[A-Z0-9]){6,17}(?![\w@/-])")
 _OTHER = re.compile(OTHER_CUES, re.IGNORECASE)
 _HOUSE = r"\d{1,4}(?:\s?[a-h]|\s?(?:bis|ter))?(?!\w)"
 _FLAT = r"(?:(?:Flat|Apt\.?|Apartment|Unit|Suite|Room)\s\d{1,4}\w?,?\s|(?:Appt\.?|Appartement|Apt\.?)\s\d{1,4}\w?,?\s|(?:Wohnung|Whg\.?)\s\d{1,4}\w?,?\s)?"
@@ -94,8 +105,12 @@ _ADDRESSES = [
     re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, STREETS_ES))})\.?\s(?:(?:de|del|la|las|los|el)\s)*[A-ZÀ-Þ][\w'’-]*(?:\s(?:(?:de|del|la|las|los|y)\s)*[A-ZÀ-Þ][\w'’-]*)*,?\s(?:n\.?\s?[ºo°]\.?\s?|núm\.?\s|número\s|#)?{_HOUSE}"),
     re.compile(rf"(?<!\w)(?:[A-ZÄÖÜ][\wäöüß-]*?(?:{'|'.join(map(re.escape, STREETS_DE))})|(?:[A-ZÄÖÜ][\wäöüß]+(?:er|en|es|e)?\s)(?:Straße|Strasse|Str\.|Weg|Gasse|Platz|Allee|Ufer|Damm|Ring|Markt|Hof))\s{_HOUSE}"),
     re.compile(rf"(?<!\w)(?:Am|An der|An den|An dem|Im|In der|In den|Zum|Zur|Auf dem|Auf der|Unter den|Hinter dem|Hinter der|Vor dem|Beim)\s(?:Alten?|Neuen?|Hohen?|Langen?|Großen?|Kleinen?|Oberen?|Unteren?|Roten?|Weißen?|Schwarzen?|Grünen?)\s[A-ZÄÖÜ][a-zäöüß]+\s{_HOUSE}"),
-    re.compile(rf"(?<=Anschrift ist )(?:Am|An der|Im|In der|Zum|Zur|Auf dem|Auf der|Unter den|Beim)\s[A-ZÄÖÜ][a-zäöüß]+(?:\s[A-ZÄÖÜ][a-zäöüß]+)?\s{_HOUSE}"),
+    re.compile(rf"(?<!\w)(?:{'|'.join(STREETS_IT)})\s(?:(?:del|della|dei|di|da|la|San|Santa)\s)*[A-ZÀ-Þ][\w'’-]*(?:\s[A-ZÀ-Þ][\w'’-]*)*,?\s{_HOUSE}"),
 ]
+#: A German place that tells no street by itself: an address after a cue or before a postcode.
+_PLACED_ADDRESS = re.compile(rf"(?<!\w)(?:Am|An der|Im|In der|Zum|Zur|Auf dem|Auf der|Unter den|Beim)\s[A-ZÄÖÜ][a-zäöüß]+(?:\s[A-ZÄÖÜ][a-zäöüß]+)?\s{_HOUSE}")
+_ADDRESS_CUE = re.compile(r"(?:Anschrift|Adresse|Wohnung|wohn\w*|lebt|lebe|zieh\w*|\w*gezogen)\b[^.!?\n]{0,25}$")
+_POSTCODE = re.compile(r",\s\d{5}\s[A-ZÄÖÜ]")
 _NAME = re.compile(
     rf"(?<![\w.@＠+'’-])(?:"
     rf"(?P<g1>{_CAP}|{_UPP})\s(?:[A-ZÀ-Þ]\.\s)?(?P<s1>{_SURNAME})|"
@@ -115,8 +130,11 @@ def _anchors() -> ahocorasick.Automaton:
     trie = ahocorasick.Automaton()
     for sign in ("@", "＠", " at ", "[at]", "(at)", "{at}", "<at>", "[ at ]", "( at )", " arroba ", " arobase ", "(arroba)", "[arroba]", "(a)", "[a]", "arobase", " ät ", "(ät)"):
         trie.add_word(sign, "email")
-    for word in STREETS_EN + STREETS_FR + STREETS_ES + STREETS_DE:
+    for word in STREETS_EN + STREETS_FR + STREETS_ES + STREETS_IT + STREETS_DE:
         trie.add_word(word.lower(), "address")
+    for kind, cues in (("identity_number", IDENTITY_ANCHORS), ("phone", PHONE_ANCHORS)):
+        for cue in cues:
+            trie.add_word(cue, kind)
     trie.make_automaton()
     return trie
 
@@ -254,27 +272,29 @@ def find_items(text: str | None, names: Names) -> list[tuple[str, int, int]]:
             out.append((kind, start, end))
 
     lowered = text.lower()
-    streets = []
+    streets, papers, phones = [], [], []
     for end, kind in _anchors().iter(lowered if len(lowered) == len(text) else text):
         if kind == "email":
             item = _emails(text, end if text[end] in "@＠" else end - 1)
             if item:
                 take("email", *item)
         else:
-            streets.append(end)
+            (streets if kind == "address" else papers if kind == "identity_number" else phones).append(end)
     for start, end in _addresses(text, streets):
         take("address", start, end)
     runs = _stretches(text)
     for a, b in runs:
         for start, end in _identities(text, a, b):
             take("identity_number", start, end)
+    for start, end in _papers(text, papers):
+        take("identity_number", start, end)
     for m in (m for a, b in runs for m in _NUMBERS.finditer(text, a, b)):
         start = m.start()
         opened = m.group().find(" (")
         if opened > 0 and m.group()[0] != "+":  # a number in brackets after another number
             start += opened + 1
         start, end = _trim(text, start, m.end())
-        if _phone(text, start, end):
+        if _phone(text, start, end) or _called(text, start, end, phones):
             more = _EXTENSION.match(text, end)
             take("phone", start, more.end() if more else end)
     for start, end in names.find(text):
@@ -304,10 +324,33 @@ def _identities(text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
             for cue in _CUE.finditer(before):
                 pass
             near = cue and not re.search(r"[.!?;]\s", before[cue.end() :]) and not re.search(r"\d{5}", before[cue.end() :])
-            if near or (distinct and text[max(0, m.start() - 1) : m.start()] not in ("+", "/", ".") and not _telephone_cue(before)):
+            after = _CUE_AFTER.match(text, m.end())
+            if near or after or (distinct and text[max(0, m.start() - 1) : m.start()] not in ("+", "/", ".") and not _telephone_cue(before)):
                 yield m.span()
 
 
+def _papers(text: str, cues: list[int]) -> list[tuple[int, int]]:
+    """Numbers of letters and digits after a cue, in its sentence and with no other number between, or before it."""
+    out: list[tuple[int, int]] = []
+    for end in cues:
+        for m in _MIXED.finditer(text, end + 1, min(len(text), end + 60)):
+            between = re.sub(r"\b(?:no|nr|num|núm|n)\.", "", text[end + 1 : m.start()], flags=re.IGNORECASE)
+            if len(between) <= 32 and not re.search(r"[.!?;]\s|\d{3}", between) and not _OTHER.search(text[max(0, m.start() - 34) : m.start()]):
+                out.append(m.span())
+            break
+    return out
+
+
+def _called(text: str, start: int, end: int, cues: list[int]) -> bool:
+    """Whether a number of seven digits or more follows a telephone cue at once, whatever its form."""
+    k = bisect.bisect(cues, start) - 1
+    if k < 0 or start - cues[k] > 14:
+        return False
+    digits = sum(c.isdigit() for c in text[start:end])
+    between = text[cues[k] + 1 : start]
+    return 7 <= digits <= 15 and bool(re.fullmatch(r"\w{0,6}[\s.:]*(?:(?:no|nr|number|nummer|me on|us on|at|unter|au|al|número|numéro)\b[\s.:]*)?", between, re.IGNORECASE)) and not re.search(r"\d{1,2}[./]\d{1,2}[./]\d{4}", text[start:end])
+
+
 def _addresses(text: str, streets: list[int]) -> list[tuple[int, int]]:
     """Addresses around house numbers that have a street word, or a German place, in reach."""
     out: list[tuple[int, int]] = []
@@ -325,6 +368,9 @@ def _addresses(text: str, streets: list[int]) -> list[tuple[int, int]]:
             b += 1
         for pattern in _ADDRESSES:
             out += [m.span() for m in pattern.finditer(text, a, b) if m.start() < house.end() and m.end() >= house.end() and m.span() not in out[-6:]]
+        for m in _PLACED_ADDRESS.finditer(text, a, b):
+            if m.start() < house.end() <= m.end() and (_ADDRESS_CUE.search(text[max(0, m.start() - 40) : m.start()]) or _POSTCODE.match(text, m.end())):
+                out.append(m.span())
     return out
 
 
