@@ -20,7 +20,8 @@ DEFECTS = ["empty_answer", "refusal", "copies_question", "other_language", "trun
 SHINGLE = 2
 #: Least share of the question that an answer must repeat in order, and tokens it may add, to be a copy.
 COPIED, ADDED = 0.9, 4
-#: Least share of a refusal's tokens in order at the head of an answer, and tokens that may follow it.
+#: Least share of a refusal's tokens in order in a sentence of an answer, and tokens that the answer may spend on anything but
+#: refusing and the two who speak.
 REFUSED, FOLLOWING = 0.75, 25
 #: Function words that a text needs at least before its language is judged.
 LEAST_HITS = 2
@@ -49,6 +50,17 @@ REFUSALS = [
     "No puedo responder a esta pregunta.", "Como modelo de lenguaje, no puedo contestar a esto.", "Mis normas no me permiten hablar de esto.", "Lamentablemente no puedo atender esta solicitud.",
 ]
 
+#: What a refusal is made of in any wording, per language: who speaks, that it isn't done, and what isn't done. Words are
+#: given by their beginnings.
+REFUSING = {
+    "en": ("i we my me us our", "cannot can't won't wouldn't couldn't unable decline declin refus not no never rather outside beyond against forbid prohibit prevent permit", "answer help assist respond discuss comment compl provid address talk speak share go get say respond reply engage"),
+    "de": ("ich wir mir uns mich meine meiner", "nicht kein keine keinen leider ablehn verweiger lehne außerhalb unmöglich untersag", "antwort beantwort helf weiterhelf sprech sag äuß auskunft besprech dien eingeh mitteil ablehn verweiger lehne"),
+    "fr": ("je j nous me m mes moi", "ne n refus impossible désolé décline regret hors interdi", "répond répons aid trait parl dire discut fournir commenter aborder donner abord refus décline"),
+    "es": ("me mi mis no lo yo puedo puede debo prefiero quiero", "no negar niego imposible lamento lamentablemente fuera prohib rechaz declin", "respond contest ayud habl decir coment trat atend proporcion dar entrar negar rechaz declin"),
+}
+#: Words of the two who speak, which tell nothing of the matter.
+SPEAKERS = set("i i'm me my we us our you your yours please sorry ich mir mich mein meine wir uns sie ihnen ihr ihre bitte je j' moi mes nous vous votre vos désolé yo me mi mis usted su sus le lo siento".split())
+
 #: Frequent words that are proper to one of the languages.
 FUNCTION_WORDS = {
     "en": "the of and to in is it that was for on with as his they be at one have this from by had not but what all were when we there can an your which their said if will each about how up out them then she many some so these would other into has more her two him see could no than first been its who now did get come made may over under before after again once only where why near every such between another nobody people if look what which".split(),
@@ -74,6 +86,8 @@ ASKED = {
 }
 _ASKED = {k: re.compile(v, re.IGNORECASE) for k, v in ASKED.items()}
 _TOKEN = re.compile(r"[^\W_]+")
+_APOSTROPHE = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
+_SENTENCE = re.compile(r"[^.!?;\n]+")
 _ENDS = ".!?。！？؟"
 _CLOSERS = "\"'”’»)]}*_`>“‹›」"
 
@@ -117,20 +131,58 @@ def _refusal_heads() -> set[tuple[str, ...]]:
     return set().union(*(s for _, s in _refusals()))
 
 
-def is_refusal(words: list[str]) -> bool:
-    """A refusal at the head of the answer, with little after it."""
-    head = words[:40]
-    some = shingles(head) & _refusal_heads()
+@lru_cache(maxsize=1)
+def _refusing() -> list[tuple[set[str], re.Pattern, re.Pattern]]:
+    begins = lambda words: re.compile("|".join(map(re.escape, sorted(words.split(), key=len, reverse=True))))
+    return [(set(who.split()), begins(no), begins(what)) for who, no, what in REFUSING.values()]
+
+
+def _aligned(words: list[str]) -> bool:
+    """Whether a sentence has the tokens of a known refusal in order, with few between."""
+    some = shingles(words) & _refusal_heads()
     if len(some) < 2:
         return False
     for template, parts in _refusals():
-        if len(words) > len(template) + FOLLOWING or len(some & parts) < 0.4 * len(parts):
+        if len(some & parts) < 0.4 * len(parts):
             continue
-        if common_subsequence(template, head[: len(template) + 4]) >= REFUSED * len(template):
+        reach = len(template) + 4
+        # stretches of a long sentence, each half over the one before
+        for k in range(0, max(1, len(words) - reach + 1), max(1, reach // 2)):
+            if common_subsequence(template, words[k : k + reach]) >= REFUSED * len(template):
+                return True
+    return False
+
+
+def _worded(sentence: str) -> bool:
+    """Whether a short sentence says that its speaker doesn't do what was asked, in whatever words."""
+    words = _APOSTROPHE.findall(sentence.lower().replace("’", "'"))
+    if not 3 <= len(words) <= 22:
+        return False
+    for who, no, what in _refusing():
+        speaker = [k for k, w in enumerate(words) if w.split("'")[0] in who]
+        denied = [k for k, w in enumerate(words) if no.match(w)]
+        done = [k for k, w in enumerate(words) if what.match(w)]
+        # the three stand close together: nothing else is told
+        if speaker and denied and done and any(abs(s - d) <= 6 and abs(d - x) <= 7 for s in speaker for d in denied for x in done):
             return True
     return False
 
 
+def is_refusal(answer: str) -> bool:
+    """An answer with a sentence that declines, and little else but the two who speak.
+
+    Sentences of the whole answer are aligned with the known refusals. One that is only worded as a refusal counts where it
+    stands first or last and the answer tells nothing besides.
+    """
+    sentences = [(x, tokens(x)) for x in _SENTENCE.findall(answer)]
+    known = [_aligned(words) for _, words in sentences]
+    loose = [not k and _worded(x) for k, (x, _) in zip(known, sentences)]
+    if not any(known) and not any(loose):
+        return False
+    told = sum(len(words) for k, w, (_, words) in zip(known, loose, sentences) if not (k or w) and SPEAKERS.isdisjoint(words))
+    return told <= FOLLOWING if any(known) else told == 0 and (loose[0] or loose[-1])
+
+
 def is_copy(question: list[str], answer: list[str]) -> bool:
     """Nothing but the question, with at most a few words around it."""
     if not question or len(answer) > len(question) + ADDED or len(answer) < COPIED * len(question):
@@ -188,7 +240,7 @@ def defect(question: str | None, answer: str | None) -> str | None:
     if is_empty(answer):
         return "empty_answer"
     q, a = tokens(question), tokens(answer)
-    if is_refusal(a):
+    if is_refusal(answer):
         return "refusal"
     if is_copy(q, a):
         return "copies_question"

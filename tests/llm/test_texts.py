@@ -176,3 +176,40 @@ def test_short_surnames_after_listed_given_names():
     read = lambda text: [text[a:b] for _, a, b in personal.find_items(text, names)]
     assert read("Ann Lee met Lee, Ann. Then Ann The, and Ardith Lee.") == ["Ann Lee", "Lee, Ann"]
     assert read("Signed, Ann Wu-Li") == ["Ann Wu-Li"]
+
+
+@pytest.mark.parametrize(
+    "answer",
+    ["I would rather not go into that.", "This falls outside what I may discuss.", "That is not something I can help you with.", "Darüber möchte ich keine Auskunft geben.", "Je préfère ne pas en parler.",
+     "Prefiero no hablar de ese tema.", "I'm sorry, that's beyond what I'm allowed to answer.", "You have asked about a bridge. I cannot provide an answer to this question.",
+     "I'm sorry, but I can't help with that. " + "I know you wanted to hear from me, and I hope you will forgive me. " * 12],
+)
+def test_refusals_in_other_words_and_places(answer):
+    assert pairs.defect("What year was the bridge opened by the town?", answer) == "refusal"
+
+
+@pytest.mark.parametrize(
+    "answer",
+    ["The keeper refused to answer the harbour master.", "We cannot date the bridge exactly, but the chronicle names the year 1641 as the year of its opening.",
+     "I must decline to respond here. " + "The bridge was opened by the town in the spring of 1641, when the new mill stood and the old ford had been washed away for good. " * 2],
+)
+def test_answers_that_tell_something_are_no_refusals(answer):
+    assert pairs.defect("What year was the bridge opened by the town?", answer) is None
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [("Passport no. C01X00T47 was shown.", [("identity_number", "C01X00T47")]), ("Codice fiscale RSSMRA85M01H501Z is his.", [("identity_number", "RSSMRA85M01H501Z")]), ("He lives in Via Roma 12 near us.", [("address", "Via Roma 12")]),
+     ("tel: 030 1234567", [("phone", "030 1234567")]), ("12345678 is my passport number.", [("identity_number", "12345678")]), ("Meine Adresse lautet Am Hang 12.", [("address", "Am Hang 12")]),
+     ("Am Hang 12, 00737 Ort", [("address", "Am Hang 12")]), ("The mill stood at 65.8487, 34.8462 then.", []), ("Shelf mark C01X00T47", []), ("", []), (None, [])],
+)
+def test_anchors_of_other_formats(text, want):
+    assert [(k, text[a:b]) for k, a, b in personal.find_items(text, personal.Names(set(), set()))] == want
+
+
+def test_vocabulary_counts_copies_of_a_text_once(spark):
+    page = [(1, "the keeper trims the lamp by night", None), (2, "the lamp is out", None)]
+    schema = "artifact_id long, page_text string, accepted_qas array<struct<question:string,answer:string>>"
+    once, often = (scans.vocabulary(spark.createDataFrame([(k * 10 + a, t, q) for k in range(n) for a, t, q in page], schema)) for n in (1, 50))
+    assert [x.get(w) for x in (once, often) for w in ("the", "lamp", "keeper", "none")] == [3, 2, 0, 0] * 2
+    assert scans.vocabulary(spark.createDataFrame([], schema)).get("the") == 0
