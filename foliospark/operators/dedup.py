@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.sources.tables import cut
+from foliospark.sources.tables import cut, join_hot
 
 #: Rows of one side of a block of comparisons; a block costs at most CHUNK * CHUNK cheap tests.
 CHUNK = 400
@@ -20,11 +20,13 @@ CHUNK = 400
 def exact_duplicates(pairs: DataFrame, order: list[str]) -> DataFrame:
     """Adds ``duplicate``: whether a row earlier in ``order`` has the same signature.
 
-    A signature's first row is found by a combined minimum, so copies of one signature meet in no single task. Rows
-    that agree in the whole order are one row to it; null signatures are never duplicates.
+    A signature, named by 128 bits, has its first row found by a combined minimum, and only signatures of several rows are joined
+    back, hot ones dealt out, so copies of one signature meet in no single task. Rows that agree in the whole order are
+    one row to it; null signatures are never duplicates.
     """
-    first = pairs.groupBy("signature").agg(F.min(F.struct(*order)).alias("_first"))
-    return pairs.join(first, "signature", "left").withColumn("duplicate", F.coalesce(F.struct(*order) > F.col("_first"), F.lit(False))).drop("_first")
+    keyed = pairs.withColumn("_key", F.md5("signature"))
+    first = keyed.where("_key is not null").groupBy("_key").agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    return join_hot(keyed, first, "_key", order[-1], "left").withColumn("duplicate", F.coalesce(F.struct(*order) > F.col("_first"), F.lit(False))).drop("_first", "_key")
 
 
 def similarity(a: str, b: str) -> float:

@@ -14,6 +14,7 @@ from foliospark.plans.run import run
 from foliospark.plans.stages import page_prompt, sinks, stage_one, stage_two, stage_two_records
 from foliospark.sources.books import count_text_pages, list_books, page_of, read_pages, read_text_pages
 from foliospark.sources.jsonl import read_json, read_jsonl, write_json, written_or_set_aside
+from foliospark.sources.tables import join_hot
 from foliospark.streaming.incremental import artifacts_of_arrivals, calls_per_window
 
 QA = "struct<question:string,answer:string,question_type:string,difficulty:string,citation_quote:string>"
@@ -308,3 +309,12 @@ def test_single_pages_and_counts():
     for n in (0, 3):
         with pytest.raises(IndexError):
             page_of(b"one\ftwo", n, 100, read_text_pages)
+
+
+def test_join_hot(spark):
+    left = spark.createDataFrame([(k, "hot" if k % 3 == 0 else f"k{k % 900}" if k % 7 else None) for k in range(6000)], "id long, key string")
+    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "key string, v int")
+    for how in ("inner", "left"):
+        want = sorted((r["id"], r["v"] or 0) for r in left.join(right, "key", how).collect())
+        assert sorted((r["id"], r["v"] or 0) for r in join_hot(left, right, "key", "id", how).collect()) == want
+    assert join_hot(left.limit(0), right, "key", "id").count() == 0
