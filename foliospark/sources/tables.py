@@ -47,22 +47,22 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner", part: int = 1000, salts: int = 16) -> DataFrame:
+def join_hot(left: DataFrame, right: DataFrame, keys: str | list[str], by: str, how: str = "inner", hot: int = 10_000, most: int = 1000, salts: int = 16) -> DataFrame:
     """Joins ``left`` to ``right``, which has a row per key, where a key may hold a large part of the rows of ``left``.
 
-    Keys that hold more than one in ``part`` rows, of which there are fewer than ``part``, are found by counting (combined
-    before it is shuffled); their rows are dealt out by a hash of the column ``by``, and only their rows of ``right`` are
-    copied. Null keys match nothing.
+    The ``most`` most frequent keys of over ``hot`` rows are found by counting the first key column (combined before it is
+    shuffled); any other key holds less than one row in ``most``. Their rows are dealt out by a hash of the column
+    ``by``, and only their rows of ``right`` are copied. Null keys match nothing.
     """
-    counts = cut(left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = [r[0] for r in counts.where((F.col("n") > total / part) & (F.col("n") > part)).select(key).collect()]
-    if not hot:
-        return left.join(right, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    keys = [keys] if isinstance(keys, str) else keys
+    counts = left.groupBy(keys[0]).agg(F.count("*").alias("n")).where((F.col("n") > hot) & F.col(keys[0]).isNotNull())
+    values = [r[0] for r in counts.orderBy(F.desc("n")).limit(most).collect()]
+    if not values:
+        return left.join(right, keys, how)
+    is_hot = F.coalesce(F.col(keys[0]).isin(values), F.lit(False))
     dealt = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(by), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
     copied = right.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    return dealt.join(copied, [key, "_salt"], how).drop("_salt")
+    return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
 
 
 def once_per(df: DataFrame, *keys: str) -> DataFrame:

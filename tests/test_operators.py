@@ -316,5 +316,5 @@ def test_join_hot(spark):
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "key string, v int")
     for how in ("inner", "left"):
         want = sorted((r["id"], r["v"] or 0) for r in left.join(right, "key", how).collect())
-        assert sorted((r["id"], r["v"] or 0) for r in join_hot(left, right, "key", "id", how).collect()) == want
+        assert sorted((r["id"], r["v"] or 0) for r in join_hot(left, right, "key", "id", how, hot=100).collect()) == want
     assert join_hot(left.limit(0), right, "key", "id").count() == 0
