@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from foliospark.sources.tables import cut
 
-#: Copies of each row of minima, so that the rows of one hub spread over as many tasks.
-SALTS = 8
+#: Neighbours of a node from which on its rows are spread over SALTS tasks.
+HUB, SALTS = 10_000, 16
 
 
 def _with_least(both: DataFrame) -> DataFrame:
-    """Adds to each edge (u, v) the least of u and its neighbours; hubs are spread by salt."""
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    salted = least.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return both.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "s"]).select("u", "v", "m")
+    """Adds to each edge (u, v) the least of u and its neighbours. The edges of hubs are dealt out by the other end, and only the minima of
+    hubs are copied; which nodes are hubs is known from the count that gives the minima."""
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+    hubs = least.where(F.col("n") > HUB).select("u", F.lit(True).alias("hub"))
+    salt = F.when(F.col("hub"), F.pmod(F.xxhash64("v"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    dealt = both.join(hubs, "u", "left").withColumn("s", salt)
+    salted = least.withColumn("s", F.explode(F.when(F.col("n") > HUB, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    return dealt.join(salted, ["u", "s"]).select("u", "v", "m")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

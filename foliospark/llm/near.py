@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.graph import components
-from foliospark.sources.tables import cut, message, spread
+from foliospark.sources.tables import cut, join_hot, message, spread
 
 THRESHOLD = 0.8
 LEAST_WORDS = 45
@@ -359,8 +359,7 @@ class NearRecords:
     texts. Records of fewer than ``least_words`` words don't take part; repeated rows count once. Records with the same
     words in any order are a class, represented by its least record_id.
 
-    A hot class is counted before it is shuffled, and where a table is joined by class or record, the runtime splits
-    partitions that are skewed.
+    A class that holds a large part of all records is counted before it is shuffled, and dealt out where it is joined.
     """
 
     def __init__(self, records: DataFrame, threshold: float = THRESHOLD, least_words: int = LEAST_WORDS, block: int = BLOCK):
@@ -369,7 +368,7 @@ class NearRecords:
         self._words = spread(given).select("record_id", F.transform(record_words(), lambda w: F.xxhash64(w)).alias("words")).where(F.size("words") >= max(least_words, 1))
         signed = cut(self._words.mapInArrow(_sign(*band_shape(given.count(), threshold)), _SIGNED))
         several = signed.groupBy("k1", "k2").agg(F.min("record_id").alias("least"), F.count("*").alias("m")).where("m > 1").drop("m")
-        classed = signed.join(several, ["k1", "k2"], "left").withColumn("rep", F.coalesce("least", "record_id"))
+        classed = join_hot(signed, several, ["k1", "k2"], "record_id", "left").withColumn("rep", F.coalesce("least", "record_id"))
         # a record that is alone in its class was delivered once
         self.members = classed.where("least is null").select("record_id", "rep").unionAll(classed.where("least is not null").select("record_id", "rep").distinct())
         firsts = classed.where("least is not null and rep = record_id").dropDuplicates(["rep"])
@@ -414,4 +413,4 @@ class NearRecords:
         tied = components(self.links.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "rep")
         classes = sizes.join(across, "rep", "left").join(tied, "rep", "left").select(
             "rep", F.coalesce("component", "rep").alias("group_id"), (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_links"))
-        return self.members.join(classes, "rep").select("record_id", F.col("rep").alias("class_id"), "group_id", "n_links")
+        return join_hot(self.members, classes, "rep", "record_id").select("record_id", F.col("rep").alias("class_id"), "group_id", "n_links")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from foliospark.llm.books import book_key, person_key, record_book_key, series_key
 from foliospark.llm.graph import components
-from foliospark.sources.tables import cut, once_per
+from foliospark.sources.tables import cut, join_hot, once_per
 
 #: Shares wanted of the records.
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
@@ -50,9 +50,9 @@ def record_groups(records: DataFrame, catalog: DataFrame) -> DataFrame:
     named by the book's key. Records that name no book are left out; repeated rows count once.
     """
     named = records.select("record_id", record_book_key(F.col("metadata")).alias("book")).where("book is not null")
-    # distinct spellings are joined, not records: a book that holds a third of all rows is one row here
     groups = book_groups(catalog).groupBy("book").agg(F.min("group_book").alias("group_book"))
-    return once_per(named, "record_id").join(groups, "book", "left").select("record_id", F.coalesce("group_book", "book").alias("group_book"))
+    # a book may hold a third of all records
+    return join_hot(once_per(named, "record_id"), groups, "book", "record_id", "left").select("record_id", F.coalesce("group_book", "book").alias("group_book"))
 
 
 def differencing(weights: list[tuple[list[float], list[list]]], bins: int) -> tuple[list[float], list[list]]:
@@ -139,7 +139,7 @@ def split_records(records: DataFrame, catalog: DataFrame, shares: dict[str, floa
     """``(record_id, group_book, split)``: no group is divided, and records are shared out as wanted as
     far as the largest group allows. Records that name no book are groups of their own, with a null group_book.
     """
-    every = once_per(records.select("record_id", "metadata"), "record_id").select("record_id")
+    every = records.select("record_id").distinct()
     grouped = cut(every.join(record_groups(records, catalog), "record_id", "left").withColumn(
         "node", F.coalesce(F.concat(F.lit("g:"), "group_book"), F.concat(F.lit("r:"), F.col("record_id").cast("string"), F.lit("")), F.lit("r:"))))
     # single records are interchangeable: as blocks of dust they are balanced like all others
@@ -150,4 +150,4 @@ def split_records(records: DataFrame, catalog: DataFrame, shares: dict[str, floa
     label = F.lit(None).cast("string")
     for b, name in names.items():
         label = F.when(F.col("bin") == b, name).otherwise(label)
-    return grouped.join(placed.select("node", label.alias("split")), "node").select("record_id", "group_book", "split")
+    return join_hot(grouped, placed.select("node", label.alias("split")), "node", "record_id").select("record_id", "group_book", "split")
