@@ -250,11 +250,13 @@ def test_near_nothing(spark):
 # graph, groups and splits
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [graph.FEW, 0])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "HUB", 20)
     rng = random.Random(6)
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, 100), (None, 3), (200, 201), (201, 200)] + [(1000, 1000 + k) for k in range(1, 60)]
     edges += [(rng.randint(300, 360), rng.randint(300, 360)) for _ in range(40)]
-    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "u long, v long"), few=few).collect()}
     parent = {}
 
     def root(x):
@@ -267,7 +269,7 @@ def test_components(spark):
             a, b = root(u), root(v)
             parent[max(a, b)] = min(a, b)
     assert got == {x: root(x) for x in list(parent)}
-    assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
+    assert graph.components(spark.createDataFrame([], "u long, v long"), few=few).count() == 0
 
 
 CATALOG = "source_book string, title string, authors array<string>, series string, lang string, domain string"
