@@ -59,7 +59,8 @@ def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             above.setdefault(v, b)
             above[max(a, b)] = min(a, b)
     nodes = list(above)
-    yield pd.DataFrame({"node": nodes, "component": [least(x) for x in nodes]})
+    if nodes:
+        yield pd.DataFrame({"node": nodes, "component": [least(x) for x in nodes]})
 
 
 def components(edges: DataFrame, max_rounds: int = 50, few: int = FEW) -> DataFrame:
