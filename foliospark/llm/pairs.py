@@ -174,13 +174,18 @@ def is_refusal(answer: str) -> bool:
     Sentences of the whole answer are aligned with the known refusals. One that is only worded as a refusal counts where it
     stands first or last and the answer tells nothing besides.
     """
-    sentences = [(x, tokens(x)) for x in _SENTENCE.findall(answer)]
-    known = [_aligned(words) for _, words in sentences]
-    loose = [not k and _worded(x) for k, (x, _) in zip(known, sentences)]
-    if not any(known) and not any(loose):
+    words = tokens(answer)
+    templates = len(shingles(words) & _refusal_heads()) >= 2
+    speakers = any(not who.isdisjoint(words) for who, _, _ in _refusing())
+    if not templates and not speakers:
         return False
-    told = sum(len(words) for k, w, (_, words) in zip(known, loose, sentences) if not (k or w) and SPEAKERS.isdisjoint(words))
-    return told <= FOLLOWING if any(known) else told == 0 and (loose[0] or loose[-1])
+    sentences = [(x, tokens(x)) for x in _SENTENCE.findall(answer)]
+    known = [templates and _aligned(words) for _, words in sentences]
+    if any(known):
+        told = sum(len(words) for k, (x, words) in zip(known, sentences) if not k and SPEAKERS.isdisjoint(words) and not _worded(x))
+        return told <= FOLLOWING
+    ends = [k for k in {0, len(sentences) - 1} if speakers and sentences and _worded(sentences[k][0])]
+    return bool(ends) and all(not SPEAKERS.isdisjoint(words) or not words or k in ends or _worded(x) for k, (x, words) in enumerate(sentences))
 
 
 def is_copy(question: list[str], answer: list[str]) -> bool:
