@@ -121,6 +121,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 _CAPITALISED = re.compile(r"(?<![\w.@＠+'’-])[A-ZÀ-ÖØ-Þ][^\W\d_]+")
 _INITIAL = re.compile(r"(?<![\w.@＠+'’-])[A-ZÀ-ÖØ-Þ]\.(?=\s?[A-ZÀ-ÖØ-Þ]|[^\w]|$)")
 _DIGITS = re.compile(r"\d(?:[ \-./()A-Z]*\d){5,}[ -]?[A-Z0-9]?(?!\w)|[A-Z]\d{2,3}[A-Z]\d{4,}\w*")
+_DIGIT = re.compile(r"\d")
 _HOUSE_NUMBER = re.compile(r"(?<![\w.])\d{1,4}(?:\s?[a-h]|\s(?:bis|ter))?(?!\w)")
 _GERMAN_PLACE = re.compile(r"\b(?:Am|An|Im|In|Zum|Zur|Auf|Unter|Hinter|Vor|Beim)\s(?:d\w+\s)?[A-ZÄÖÜ][^\d.!?]*$")
 
@@ -333,6 +334,8 @@ def _papers(text: str, cues: list[int]) -> list[tuple[int, int]]:
     """Numbers of letters and digits after a cue, in its sentence and with no other number between, or before it."""
     out: list[tuple[int, int]] = []
     for end in cues:
+        if not _DIGIT.search(text, end + 1, min(len(text), end + 40)):
+            continue
         for m in _MIXED.finditer(text, end + 1, min(len(text), end + 60)):
             between = re.sub(r"\b(?:no|nr|num|núm|n)\.", "", text[end + 1 : m.start()], flags=re.IGNORECASE)
             if len(between) <= 32 and not re.search(r"[.!?;]\s|\d{3}", between) and not _OTHER.search(text[max(0, m.start() - 34) : m.start()]):
