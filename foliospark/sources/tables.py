@@ -47,6 +47,18 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def cut_clean(df: DataFrame) -> DataFrame:
+    """``cut``, and the files of the shuffles that led to ``df`` are removed at once, not when the driver collects its garbage. ``df`` can't be
+    used afterwards without running it again."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return cut(df.select("*"))  # a plan of its own, made under this setting
+    finally:
+        conf.set(key, before) if before is not None else conf.unset(key)
+
+
 def join_hot(left: DataFrame, right: DataFrame, keys: str | list[str], by: str, how: str = "inner", hot: int = 10_000, most: int = 1000, salts: int = 16) -> DataFrame:
     """Joins ``left`` to ``right``, which has a row per key, where a key may hold a large part of the rows of ``left``.
 

@@ -1,7 +1,9 @@
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -242,6 +244,73 @@ def test_near_long_records_of_a_hot_group(spark, words):
     assert {tuple(r) for r in near.NearRecords(spark.createDataFrame(data, CHAT)).pairs().collect()} == want
 
 
+@pytest.mark.parametrize("n", [10**5, 24 * 10**6, 10**9])
+def test_near_pairs_at_the_threshold_meet(n):
+    """Of pairs with a similarity of 0.8, 1 in 2,700 may share no bucket."""
+    bands, rows = near.drawn_bands(*near.band_shape(n))
+    rng, places, pairs = np.random.default_rng(16), near.picked(bands, rows), 8000
+    words = rng.integers(0, 1 << 63, (pairs, 60)).astype(np.uint64)
+    signatures = []
+    with np.errstate(over="ignore"):
+        for _ in range(2):
+            signatures.append(np.ascontiguousarray(near.binned(*near.quick_elements(words.ravel(), np.repeat(np.arange(pairs), 60)), pairs).T))
+            words[:, :12] = rng.integers(0, 1 << 63, (pairs, 12)).astype(np.uint64)
+        met = sum(near.buckets(signatures[0], places[k], k) == near.buckets(signatures[1], places[k], k) for k in range(bands))
+    assert (met == 0).sum() <= 9  # 3 are expected of 1 in 2,700
+
+
+def test_near_bands_of_a_large_collection(spark, monkeypatch):
+    """203 bands of 8 rows, as 24 million records had: a record isn't signed for each row of each band, and what is dealt out at once is bounded."""
+    monkeypatch.setattr(near, "band_shape", lambda *_: (203, 8))
+    monkeypatch.setattr(near, "ROUND", 50_000_000, raising=False)
+    monkeypatch.setattr(near, "ROUND_PER_WORD", 1, raising=False)
+    rng = np.random.default_rng(13)
+    n, pairs = 12_000, 300
+    rows = [rng.integers(0, 3000, k).tolist() for k in rng.integers(50, 110, n)]
+    for k in range(pairs):
+        copy = list(rows[k])
+        for p in rng.choice(len(copy), rng.integers(1, len(copy) // 10 + 1), replace=False):
+            copy[p] = int(rng.integers(3000, 6000))
+        rows.append(copy)
+    data = [(k, chat(" ".join(f"w{x}" for x in w[:9]), " ".join(f"w{x}" for x in w[9:]))) for k, w in enumerate(rows)]
+    df = spark.createDataFrame(data, CHAT).repartition(8).cache()
+    assert df.count() == n + pairs
+    began = time.time()
+    got = {tuple(r) for r in near.NearRecords(df).pairs().collect()}
+    took = time.time() - began
+    assert got == {(k, n + k) for k in range(pairs)}
+    assert took < 20  # a second or two for each of several rounds
+
+
+@pytest.mark.parametrize("n", [150, 6])
+def test_near_hot_buckets_leave_their_part(spark, monkeypatch, n):
+    """Buckets that are too large to be compared in place, found while rows still come in, and in more than one round."""
+    monkeypatch.setattr(near, "HELD", 500)
+    monkeypatch.setattr(near, "ROUND", 1)
+    monkeypatch.setattr(near, "ROUND_PER_WORD", 10)
+    rng = random.Random(14)
+    first = [f"t{k}" for k in range(100)]
+    rows = [[rng.choice("uvw") + w if rng.random() < 0.09 else w for w in first] for _ in range(n)]
+    rows += [list(rows[0]) for _ in range(50)]
+    data = [(k, chat(" ".join(w[:9]), " ".join(w[9:]))) for k, w in enumerate(rows)]
+    want = {(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if dice(rows[a], rows[b]) >= 0.8}
+    found = near.NearRecords(spark.createDataFrame(data, CHAT), block=10)
+    got = [tuple(r) for r in found.pairs().collect()]
+    assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.999 * len(want)
+    assert {r["rep"] for r in found.members.where(f"record_id >= {n}").collect()} == {0}
+
+
+def test_near_words_are_split_like_by_spark(spark):
+    blanks = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000"
+    rng = random.Random(15)
+    texts = ["".join(rng.choice(blanks + "ab\xe9\u00df\u2019\u201c\u200b\u4e2d\u3001\U0001f600") for _ in range(rng.randrange(40))) for _ in range(500)] + ["", "x" * 400_000 + " y", "ab ba"]
+    want = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(r"filter(split(t, r'(?U)[\s\x1c-\x1f]+'), w -> w != '')").collect()]
+    words, sizes = near.split_words(pa.array(texts)[1:])
+    assert sizes.tolist() == [len(w) for w in want[1:]]
+    seen = dict(zip([w for t in want[1:] for w in t], words.tolist()))
+    assert len(set(seen.values())) == len(seen) == len({(w, h) for w, h in zip([w for t in want[1:] for w in t], words.tolist())})
+
+
 def test_near_nothing(spark):
     found = near.NearRecords(spark.createDataFrame([], CHAT))
     assert found.pairs().count() == 0 and found.groups().count() == 0
