@@ -119,8 +119,8 @@ def exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    judged = records.gated(records.page_pairs(_pages(spark, d))).select(
-        "artifact_id", "source_book", "source_page", "qa_index", signature(F.col("question"), F.col("answer")).alias("signature"), F.col("accepted").alias("passes"))
+    judged = _per_pair(spark, d, lambda p: records.gated(p).select(
+        "artifact_id", "source_book", "source_page", "qa_index", signature(F.col("question"), F.col("answer")).alias("signature"), F.col("accepted").alias("passes")))
     done = dedup.greedy_duplicates(judged, ["source_book", "source_page", "artifact_id", "qa_index"], ["source_book", "source_page"])
     return done.select("artifact_id", "qa_index", "passes", "duplicate", "kept")
 

@@ -1,6 +1,7 @@
 import difflib
 import json
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -111,6 +112,59 @@ def test_greedy_equals_one_by_one(spark):
     assert got == greedy(rows, 0.9)
 
 
+def prose(rng, n):
+    words = ["".join(rng.choice("eeetaoinshrdlucmfwypvbgkqjxz") for _ in range(rng.randint(2, 9))) for _ in range(500)]
+    return [" ".join(rng.choices(words, k=rng.randint(50, 110))) + rng.choice([". 7", "?", "\u2014 \u5b57"]) for _ in range(n)]
+
+
+def edited(rng, text, share):
+    t, way = list(text), rng.randrange(4)
+    n = int(len(t) * share)
+    if way == 3:
+        k = rng.randrange(len(t))
+        t[k : k + n] = rng.choices("abcdefgh q", k=n)
+    for _ in range(n if way < 3 else 0):
+        k = rng.randrange(len(t))
+        t[k : k + (way != 2)] = "" if way == 1 else rng.choice("abcdefgh qz,")
+    return "".join(t)
+
+
+def test_products_lose_nothing_and_leave_little():
+    rng = random.Random(3)
+    base = prose(rng, 60) + ["".join(rng.choice("abc dq") for _ in range(n)) for n in (0, 1, 2, 3, 60, 199, 200, 201)]
+    texts = sorted({*base, *(edited(rng, t, rng.uniform(0, 0.13)) for t in base * 6 if t)}, key=len)
+    ratio = lambda a, b: difflib.SequenceMatcher(a=a, b=b).ratio()
+    alike = {(i, j) for j, t in enumerate(texts) for i, s in enumerate(texts[:j]) if difflib.SequenceMatcher(a=s, b=t).quick_ratio() >= 0.9 and max(ratio(s, t), ratio(t, s)) >= 0.9}
+    assert len(alike) > 100 and alike <= set(dedup._pairs(texts, None, 0.9))
+    left, right = texts[::2], texts[1::2]
+    across = {(i // 2, j // 2) if i % 2 == 0 else (j // 2, i // 2) for i, j in alike if i % 2 != j % 2}
+    assert across and across <= set(dedup._pairs(left, right, 0.9))
+    many = sorted(prose(rng, 3000), key=len)
+    assert len(list(dedup._pairs(many, None, 0.9))) < 3000
+
+
+def test_near_duplicates_of_thousands_in_time(spark):
+    """Texts that aren't alike cost next to nothing: before, 8,000 took minutes of all cores."""
+    rng = random.Random(4)
+    texts = prose(rng, 8000)
+    rows = [(i, i, t, True) for i, t in enumerate(texts)] + [(9000 + i, 9000 + i, edited(rng, texts[i], 0.02), True) for i in range(0, 300, 3)]
+    df = spark.createDataFrame(rows, "i long, page long, signature string, passes boolean")
+    began = time.time()
+    got = {r["i"] for r in dedup.greedy_duplicates(df, ["page", "i"], ["page"]).where("duplicate").collect()}
+    want = {9000 + i for i in range(0, 300, 3) if difflib.SequenceMatcher(a=rows[8000 + i // 3][2], b=texts[i]).ratio() >= 0.9}
+    assert got == want and want and time.time() - began < 60
+
+
+def test_rounds_and_chunks_change_nothing(spark):
+    rng = random.Random(5)
+    base = prose(rng, 30)
+    texts = sorted({*base, *(edited(rng, t, 0.04) for t in base * 3)})
+    df = spark.createDataFrame(list(enumerate(texts)), "pos long, signature string")
+    whole = {(p, q) for p, s in enumerate(texts) for q, t in enumerate(texts) if p != q and difflib.SequenceMatcher(a=s, b=t).ratio() >= 0.9}
+    assert whole and {tuple(r) for r in dedup.similar_pairs(df, 0.9, chunk=9).collect()} == whole
+    assert dedup.similar_pairs(df.limit(0), 0.9).count() == 0
+
+
 def test_exact_duplicates_ties_and_nulls(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (2, "a"), (3, None), (4, None), (5, "b")], "record_id long, signature string")
     got = sorted((r["record_id"], r["duplicate"]) for r in dedup.exact_duplicates(df, ["record_id"]).collect())
