@@ -69,8 +69,13 @@ def usefulness(question: Column, answer: Column) -> Column:
 
 def cites(page_text: Column, quote: Column, least: int = 8) -> Column:
     """Whether the normalised quote, of ``least`` characters or more, stands in the normalised page; false for nulls and blanks."""
+    return cites_in(normalize(page_text), quote, least)
+
+
+def cites_in(page: Column, quote: Column, least: int = 8) -> Column:
+    """As ``cites``, for a page that is normalised already."""
     q = normalize(quote)
-    return F.coalesce((F.length(q) >= least) & F.contains(normalize(page_text), q), F.lit(False))
+    return F.coalesce((F.length(q) >= least) & F.contains(page, q), F.lit(False))
 
 
 def has_text(page_text: Column, more_than: int = 20) -> Column:

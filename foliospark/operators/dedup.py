@@ -197,7 +197,7 @@ def similar_pairs(texts: DataFrame, threshold: float, chunk: int = CHUNK) -> Dat
     shuffled at once. Equal signatures should be taken out before.
     """
     step = F.floor(F.log(F.length("signature") + 1) * 200).cast("int")  # 0.5 %: some thousand steps at most
-    sized = cut(texts.withColumn("step", step).withColumn("_deal", F.pmod(F.xxhash64("pos"), F.lit(1 << 30)) / (1 << 30)))
+    sized = cut_clean(texts.withColumn("step", step).withColumn("_deal", F.pmod(F.xxhash64("pos"), F.lit(1 << 30)) / (1 << 30)))
     counts = sorted(tuple(r) for r in sized.groupBy("step").agg(F.count("*"), F.min(F.length("signature")), F.max(F.length("signature"))).collect())
     size = max(1, min(chunk, math.ceil(sum(n for _, n, _, _ in counts) / 6)))
     starts, lengths, at = [], {}, 0
@@ -208,6 +208,7 @@ def similar_pairs(texts: DataFrame, threshold: float, chunk: int = CHUNK) -> Dat
         at += n
     near = [(a, b) for a in lengths for b in range(a, len(lengths)) if lengths[a][1] >= threshold / 2 * (lengths[a][1] + lengths[b][0]) - 1e-6]
     spark, found = texts.sparkSession, []
+    spark.sparkContext.environment["OPENBLAS_NUM_THREADS"] = "1"  # tasks use the cores; Spark lets each product have all of an executor's
     begun = F.broadcast(spark.createDataFrame(starts, "step int, start long, n long"))  # a row per step of length
     dealt = sized.join(begun, "step").withColumn("c", F.floor((F.col("start") + F.floor(F.col("_deal") * F.col("n"))) / size).cast("int")).select("c", "pos", "signature")
     most = 3 * max(1, len(lengths))  # meetings of a round: texts are copied six times at most

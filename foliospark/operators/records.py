@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.functions.text import cites, has_text, strip, usefulness, word_count
+from foliospark.functions.text import cites, cites_in, has_text, normalize, strip, usefulness, word_count
 
 #: Fixed value: how the tutor is introduced.
 TUTOR = "You are a helpful tutor grounded in source material."
@@ -30,9 +30,11 @@ def chat_record(question: Column, answer: Column, metadata: dict[str, Column], p
 
 
 def page_pairs(pages: DataFrame) -> DataFrame:
-    """One row per accepted pair of a page: the page's keys, text, ``qa_index`` and the pair's fields."""
-    return pages.select("artifact_id", "run_id", "source_book", "source_page", "page_text", F.posexplode("accepted_qas").alias("qa_index", "qa")).select(
-        "artifact_id", "run_id", "source_book", "source_page", "page_text", "qa_index", "qa.*")
+    """One row per accepted pair of a page: the page's keys, text, ``qa_index`` and the pair's fields. What ``gated`` needs of the
+    text is worked out once per page: ``_page`` and ``_has_text``."""
+    own = ["artifact_id", "run_id", "source_book", "source_page", "page_text", "_page", "_has_text"]
+    worked = pages.withColumns({"_page": normalize(F.col("page_text")), "_has_text": has_text(F.col("page_text"))})  # not in the next select, which has a row per pair
+    return worked.select(*own, F.posexplode("accepted_qas").alias("qa_index", "qa")).select(*own, "qa_index", "qa.*")
 
 
 def local_records(pairs: DataFrame, profile: str = "") -> DataFrame:
@@ -73,7 +75,11 @@ def gated(pairs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     start = usefulness(F.col("question"), F.col("answer"))
     ground = F.when(failed, 0.0).otherwise(F.coalesce(v["grounding_score"], F.lit(1.0))) if judged else F.lit(1.0)
     useful = F.when(failed, 0.0).otherwise(F.coalesce(v["usefulness_score"], start)) if judged else start
-    uncited = has_text(F.col("page_text")) & ~cites(F.col("page_text"), F.col("citation_quote")) if limits.citation else F.lit(False)
+    if "_page" in pairs.columns:
+        uncited = F.col("_has_text") & ~cites_in(F.col("_page"), F.col("citation_quote"))
+    else:
+        uncited = has_text(F.col("page_text")) & ~cites(F.col("page_text"), F.col("citation_quote"))
+    uncited = uncited if limits.citation else F.lit(False)
     scored = pairs.withColumns({"_uncited": uncited, "grounding_score": F.when(uncited, F.least(ground, F.lit(0.2))).otherwise(ground), "usefulness_score": useful})
     reasons = _reasons(
         (failed, "critique_call_failed"),
@@ -83,7 +89,7 @@ def gated(pairs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         (F.col("grounding_score") < limits.grounding, "grounding_score_below_threshold"),
         (F.col("usefulness_score") < limits.usefulness, "usefulness_score_below_threshold"),
     )
-    return scored.withColumn("reasons", reasons).withColumn("accepted", F.size("reasons") == 0).drop("_uncited")
+    return scored.withColumn("reasons", reasons).withColumn("accepted", F.size("reasons") == 0).drop("_uncited", "_page", "_has_text")
 
 
 def cross_gated(items: DataFrame, grounding: float = 0.6, usefulness_least: float = 0.55, multi_page: float = 0.6) -> DataFrame:
