@@ -144,7 +144,7 @@ def test_products_lose_nothing_and_leave_little():
 
 
 def test_near_duplicates_of_thousands_in_time(spark):
-    """Texts that aren't alike cost next to nothing: before, 8,000 took minutes of all cores."""
+    """Texts that aren't alike cost little: before, 10,475 pairs weren't done after 121 s on six cores."""
     rng = random.Random(4)
     texts = prose(rng, 8000)
     rows = [(i, i, t, True) for i, t in enumerate(texts)] + [(9000 + i, 9000 + i, edited(rng, texts[i], 0.02), True) for i in range(0, 300, 3)]
